@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -23,10 +26,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the folder that the cluster names in spark.checkpoint.dir, so that a lost executor loses none of it.
 
     Only where that setting is absent, as in tests, a temporary folder of this machine takes its place."""
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "corpusmill-checkpoints"))
+    _shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -64,3 +64,30 @@ def raw(column: pa.Array) -> list[bytes]:
 def as_text(name: str) -> Column:
     """The column as text, null as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a table beside the checkpoints, in the folder that all executors share, and read again; deleted when Python ends.
+
+    Smaller on disk than a checkpoint, and columns and filters are pushed into its scans."""
+    spark = df.sparkSession
+    folder = _shared_folder(spark)
+    path = f"{folder}/corpusmill-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_delete, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    found = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if found.isDefined():
+        return found.get()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    spark.sparkContext.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "corpusmill-checkpoints"))
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended, and its cluster with it
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

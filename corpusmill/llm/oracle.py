@@ -47,4 +47,46 @@ SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FRO
 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 10
 """
 
-ORACLE_SQL = {"op1_url_filter": OP1, "op9_chat_formatting": OP9, "op10_exact_top_k": OP10}
+KEY = r"translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP4 = rf"""
+WITH cut AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), lined AS (
+  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM cut
+), keyed AS (
+  SELECT doc_id, line, pos, {KEY} AS key FROM lined
+), repeated AS (
+  SELECT key, max(doc_id) AS last FROM (SELECT DISTINCT doc_id, key FROM keyed WHERE length(key) >= 20)
+  GROUP BY key HAVING count(*) >= 3
+), judged AS (
+  SELECT k.doc_id, line, pos, r.key IS NOT NULL AND k.doc_id <> r.last AS gone FROM keyed k LEFT JOIN repeated r ON k.key = r.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+OP8 = r"""
+WITH worded AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
+), windows AS (
+  SELECT doc_id, i, sha256(array_to_string(words[i:i + 49], ' ')) AS w
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM worded WHERE len(words) >= 50)
+), firsts AS (
+  SELECT w, min(doc_id) AS first FROM windows GROUP BY w HAVING count(*) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, p FROM (
+    SELECT s.doc_id, unnest(range(i, i + 50)) AS p FROM windows s JOIN firsts f ON s.w = f.w WHERE f.first < s.doc_id)
+), marked AS (
+  SELECT w.doc_id, p, word, g.p IS NOT NULL AS out
+  FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM worded) w LEFT JOIN gone g USING (doc_id, p)
+), kept AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (out) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (NOT out) AS text
+  FROM marked GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM worded LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE_SQL = {"op1_url_filter": OP1, "op4_line_dedup": OP4, "op8_substring_dedup": OP8, "op9_chat_formatting": OP9, "op10_exact_top_k": OP10}

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, simhash, topk, url_filter
+from . import bpe, chat, decontaminate, line_dedup, quality, simhash, substring_dedup, topk, url_filter
 from .common import table
 
 BLOCK, ALLOW = ("net/", "example.com/de/"), ("example.net/en/", "org/fr/")
@@ -19,6 +19,17 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), ALLOW, BLOCK, keep=("page_id",))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score_quality(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), least_chars=20, least_documents=3)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def vocabulary() -> bpe.Vocabulary:
     import public_tokenizers
 
@@ -30,11 +41,22 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and each benchmark item that it leaks."""
+    found = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), shingle=5, similarity=0.8)
+    return found.select("doc_id", F.inline("leaks")).withColumnRenamed("start", "first_word")
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=2)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"), width=50)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 CONFLICTING = "</s>[INST] ok [/INST]"
 
 
@@ -77,4 +99,17 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op5_byte_bpe, op7_simhash_near_dedup, op9_chat_formatting, op10_exact_top_k)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_url_filter,
+        op3_quality_classifier,
+        op4_line_dedup,
+        op5_byte_bpe,
+        op6_benchmark_decontamination,
+        op7_simhash_near_dedup,
+        op8_substring_dedup,
+        op9_chat_formatting,
+        op10_exact_top_k,
+    )
+}
