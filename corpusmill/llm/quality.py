@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: What the rules are about. Shares are of characters unless said otherwise.
-STATISTICS = ("chars", "words", "word_length", "distinct", "letters", "capitals", "digits", "odd", "exclaims", "lines", "bars")
+STATISTICS = ("chars", "words", "word_length", "distinct", "letters", "capitals", "digits", "odd", "exclaims", "lines", "bars", "repeats")
 
 
 def statistics(text: Column) -> dict[str, Column]:
@@ -44,6 +44,7 @@ def statistics(text: Column) -> dict[str, Column]:
         "exclaims": share(count("!")),
         "lines": share(count("\n")),
         "bars": share(count("|")),
+        "repeats": share(chars - without(r"(?<!\S)(\S++)(?=\s++\1(?!\S))")),
     }
 
 
