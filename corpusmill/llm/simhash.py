@@ -20,7 +20,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import checkpointed, map_slices, raw
@@ -72,14 +72,11 @@ def links(prints: DataFrame, radius: int = 2) -> DataFrame:
     """Distinct pairs ``a``, ``b`` of the distinct fingerprints ``fp`` that differ in at most ``radius`` bits: enough of them to connect all such pairs."""
     near, far = radius // 2, radius - radius // 2
     masks = F.array(*[F.lit(m) for m in ball(far)])
-    variants = prints.select("fp", F.explode(masks).alias("mask"))
+    dealt = prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")  # few bytes now, many rows next
+    variants = dealt.select("fp", F.explode(masks).alias("mask"))
     variants = variants.select(F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"), "fp", (F.bit_count("mask") <= near).alias("near"))
-    met = variants.groupBy("variant").agg(F.min(F.when(F.col("near"), F.col("fp"))).alias("hub"), F.min("fp").alias("low"), F.max("fp").alias("high"), F.count("*").alias("n"))
-    met = met.where("hub IS NOT NULL AND low < high")
-    # most buckets that meet hold two fingerprints, and low and high are both of them; only the rest are looked up
-    two = met.where("n = 2").select(F.col("hub").alias("a"), F.when(F.col("hub") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("b"))
-    more = variants.join(met.where("n > 2").select("variant", "hub"), "variant").select(F.col("hub").alias("a"), F.col("fp").alias("b"))
-    pairs = two.unionByName(more).where("a <> b")
+    hub = F.min(F.when(F.col("near"), F.col("fp"))).over(Window.partitionBy("variant"))
+    pairs = variants.select(hub.alias("a"), F.col("fp").alias("b")).where("a <> b")
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
