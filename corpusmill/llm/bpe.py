@@ -1,10 +1,10 @@
 """Byte-level BPE: corpus-level merge replay, and decoding.
 
 Texts are split by a pattern. The distinct pieces of a block of texts that no earlier block of the task had are laid out as one array of
-tokens. An inverted index leads from each pair of neighbours to the positions where it stands; a queue hands out the positions by rank,
-then from left to right. A merge joins two tokens and indexes only the pairs with the neighbours it touched. Within each piece this is
-the order in which a tokenizer merges: lowest rank first, leftmost first, also where a merge makes a pair of a lower rank. A piece that
-is a token itself is that token.
+tokens. An inverted index leads from the rank of a pair of neighbours to the positions where such a pair stands; a queue hands out the
+ranks in order. A merge joins the two tokens at each position of its rank, from left to right, and indexes only the pairs with the
+neighbours it touched. Where that makes a pair of a lower rank, the lower rank goes first and the rest of the positions wait. So within each
+piece merges come as in a tokenizer: lowest rank first, leftmost first. A piece that is a token itself is that token.
 
 Pieces already encoded are kept from block to block, up to ``CACHE`` of them, then forgotten.
 
@@ -16,12 +16,14 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,74 +47,131 @@ class Vocabulary:
             return cls({base64.b64decode(token): int(rank) for token, rank in pairs}, pattern)
 
 
+SHIFT = 20  # ranks are below 2**SHIFT
+
+
 class Codec:
     def __init__(self, vocabulary: Vocabulary):
-        self.ranks = vocabulary.ranks
-        self.tokens = {rank: token for token, rank in vocabulary.ranks.items()}
+        self.ranks = ranks = vocabulary.ranks
+        self.tokens = {rank: token for token, rank in ranks.items()}
+        self.above = max(ranks.values()) + 1
         self.split = regex.compile(vocabulary.pattern).findall
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def encode_batch(self, texts: Iterable[str]) -> Iterator[list[int]]:
+        self.forget()
+        #: rank of what two tokens make together
+        self.pairs: dict[int, int] = {}
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                if (a := ranks.get(token[:cut])) is not None and (b := ranks.get(token[cut:])) is not None:
+                    self.pairs[a << SHIFT | b] = rank
+        self.bytes = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
+        self.byte_pairs = np.array([[self.pairs.get(int(a) << SHIFT | int(b), -1) for b in self.bytes] for a in self.bytes], np.int64)
+
+    def forget(self) -> None:
+        """No piece is known; ``ids`` holds the tokens of the known ones, one after the other."""
+        self.known: dict[str, int] = {}
+        self.ids, self.begins, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def learn(self, pieces: list[str]) -> None:
+        ids, sizes = self.replay(pieces)
+        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces)), strict=True))
+        self.begins = np.append(self.begins, len(self.ids) + np.cumsum(sizes) - sizes)
+        self.ids, self.sizes = np.append(self.ids, ids), np.append(self.sizes, sizes)
+
+    def encode_batch(self, texts: Iterable[str]) -> list[np.ndarray]:
         texts = [self.split(t) for t in texts]
-        if new := {p for pieces in texts for p in pieces if p not in self.known}:
+        distinct = set().union(*texts)
+        if new := distinct.difference(self.known):
             if len(self.known) + len(new) > CACHE:
-                self.known.clear()
-                new = {p for pieces in texts for p in pieces}
-            self.known.update(self.replay(sorted(new)))
-        known = self.known
-        for pieces in texts:
-            ids: list[int] = []
-            for p in pieces:
-                ids += known[p]
-            yield ids
+                self.forget()
+                new = distinct
+            self.learn(sorted(new))
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(texts)), np.int64)
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        ids = self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begins[at] - ends + sizes, sizes)]
+        cuts = np.append(0, ends)[np.cumsum([len(pieces) for pieces in texts[:-1]], dtype=np.int64)] if len(texts) > 1 else []
+        return np.split(ids, cuts)
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
-    def replay(self, pieces: list[str]) -> dict[str, tuple[int, ...]]:
-        """Every piece's tokens, by one replay of the merges over all of them."""
-        ranks = self.ranks
-        out, parts, ends = {}, [], []
-        whole = []
-        for p in pieces:
-            b = p.encode()
-            if (rank := ranks.get(b)) is not None:
-                out[p] = (rank,)
-            else:
-                whole.append(p)
-                parts += [b[i : i + 1] for i in range(len(b))]
-                ends.append(len(parts))
-        n = len(parts)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        for e in ends:
-            after[e - 1] = -1
-            if e < n:
-                before[e] = -1
-        index: dict[tuple[bytes, bytes], list[int]] = defaultdict(list)
-        for i in range(n):
-            if after[i] >= 0:
-                index[parts[i], parts[i + 1]].append(i)
-        queue = [(rank, i) for (a, b), at in index.items() if (rank := ranks.get(a + b)) is not None for i in at]
-        heapq.heapify(queue)
-        dead = b""
+    def replay(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of all pieces, and how many each has, by one replay of the merges over all of them."""
+        coded = [p.encode() for p in pieces]
+        data = np.frombuffer(b"".join(coded), np.uint8)
+        n = len(data)
+        ends = np.cumsum([len(b) for b in coded]) if coded else np.empty(0, np.int64)
+        token = self.bytes[data].tolist()
+        ahead, back = np.arange(1, n + 1), np.arange(-1, n - 1)
+        first = self.byte_pairs[data[:-1], data[1:]] if n > 1 else np.empty(0, np.int64)
+        first = np.append(first, -1)[:n]
+        for k, b in enumerate(coded):
+            if (rank := self.ranks.get(b)) is not None:  # a token as it is
+                begin, end = ends[k] - len(b), ends[k]
+                first[begin:end] = -1
+                token[begin:end] = [rank] + [-1] * (len(b) - 1)
+        if n:
+            ahead[ends - 1], first[ends - 1] = -1, -1
+            back[0], back[ends[:-1]] = -1, -1
+        by_rank = np.argsort(first, kind="stable")[np.count_nonzero(first < 0) :]
+        cuts = np.flatnonzero(np.diff(first[by_rank])) + 1
+        index: list[list[int]] = [[] for _ in range(self.above)]
+        standing = by_rank.tolist()
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(standing)], strict=True):
+            if b > a:
+                index[int(first[standing[a]])] = standing[a:b]
+        ahead, back, now = ahead.tolist(), back.tolist(), first.tolist()
+        queue, pairs, push = np.unique(first[by_rank]).tolist(), self.pairs.get, heapq.heappush
         while queue:
-            rank, i = heapq.heappop(queue)
-            j = after[i]
-            if parts[i] == dead or j < 0 or ranks.get(joined := parts[i] + parts[j]) != rank:
-                continue
-            parts[i], parts[j] = joined, dead
-            after[i] = k = after[j]
-            if k >= 0:
-                before[k] = i
-                if (r := ranks.get(joined + parts[k])) is not None:
-                    heapq.heappush(queue, (r, i))
-            if (h := before[i]) >= 0 and (r := ranks.get(parts[h] + joined)) is not None:
-                heapq.heappush(queue, (r, h))
-        start = 0
-        for p, end in zip(whole, ends, strict=True):
-            out[p] = tuple(ranks[t] for t in parts[start:end] if t != dead)
-            start = end
-        return out
+            rank = heapq.heappop(queue)
+            places, index[rank] = index[rank], []
+            places.sort()
+            high = rank << SHIFT
+            for k, i in enumerate(places):
+                if now[i] != rank:
+                    continue
+                j = ahead[i]
+                token[i], now[j] = rank, -1
+                ahead[i] = after = ahead[j]
+                token[j] = -1
+                lower = False
+                if after >= 0:
+                    back[after] = i
+                    now[i] = made = pairs(high | token[after], -1)
+                    if made >= 0:
+                        if not (waiting := index[made]):
+                            push(queue, made)
+                        waiting.append(i)
+                        lower = made <= rank
+                else:
+                    now[i] = -1
+                before = back[i]
+                if before >= 0:
+                    now[before] = made = pairs(token[before] << SHIFT | rank, -1)
+                    if made >= 0:
+                        if not (waiting := index[made]):
+                            push(queue, made)
+                        waiting.append(before)
+                        lower = lower or made <= rank
+                if lower:
+                    if not index[rank] and k + 1 < len(places):
+                        push(queue, rank)
+                    index[rank] += places[k + 1 :]
+                    break
+        made = np.array(token, np.int64)
+        stay = made >= 0
+        counts = np.append(0, np.cumsum(stay))
+        return made[stay].astype(np.uint32), np.diff(counts[np.append(0, ends)])
+
+
+_codecs: dict[int, Codec] = {}
+
+
+def _codec(shared: Broadcast) -> Codec:
+    """One for each worker and vocabulary, so that what a task has encoded serves the next."""
+    if shared._jid not in _codecs:
+        _codecs[shared._jid] = Codec(shared.value)
+    return _codecs[shared._jid]
 
 
 ENCODED = "ids binary, n_tokens bigint, decoded binary"
@@ -127,15 +186,13 @@ def encode(df: DataFrame, vocabulary: Vocabulary, *, text: str = "text", keep: t
     at = len(chosen.columns) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
-        codec = Codec(shared.value)
+        codec = _codec(shared)
         for part in slices(batches, at, 1_000_000, rows):
             ids, counts, decoded = [], [], []
             for tokens in codec.encode_batch("" if t is None else t for t in part.column(at).to_pylist()):
-                ids.append(np.array(tokens, "<u4").tobytes())
+                ids.append(tokens.astype("<u4").tobytes())
                 counts.append(len(tokens))
-                decoded.append(codec.decode(tokens))
+                decoded.append(codec.decode(tokens.tolist()))
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(ids, pa.binary()), pa.array(counts, pa.int64()), pa.array(decoded, pa.binary())], [*part.schema.names[:-1], "ids", "n_tokens", "decoded"])
 
     return chosen.mapInArrow(run, kept + ENCODED)
@@ -148,9 +205,7 @@ def decode(df: DataFrame, vocabulary: Vocabulary, *, ids: str = "ids", keep: tup
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in chosen.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
-        codec = Codec(shared.value)
+        codec = _codec(shared)
         for batch in batches:
             out = [None if b is None else codec.decode(np.frombuffer(b, "<u4").tolist()) for b in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.binary())], [*batch.schema.names[:-1], "decoded"])
