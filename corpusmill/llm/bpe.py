@@ -18,12 +18,12 @@ import base64
 import heapq
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +46,11 @@ class Vocabulary:
             pairs = (line.split() for line in lines if line.strip())
             return cls({base64.b64decode(token): int(rank) for token, rank in pairs}, pattern)
 
+    @cached_property
+    def codec(self) -> "Codec":
+        """One for each worker, so that what a task has encoded serves the next."""
+        return Codec(self)
+
 
 SHIFT = 20  # ranks are below 2**SHIFT
 
@@ -164,16 +169,6 @@ class Codec:
         return made[stay].astype(np.uint32), np.diff(counts[np.append(0, ends)])
 
 
-_codecs: dict[int, Codec] = {}
-
-
-def _codec(shared: Broadcast) -> Codec:
-    """One for each worker and vocabulary, so that what a task has encoded serves the next."""
-    if shared._jid not in _codecs:
-        _codecs[shared._jid] = Codec(shared.value)
-    return _codecs[shared._jid]
-
-
 ENCODED = "ids binary, n_tokens bigint, decoded binary"
 
 
@@ -186,7 +181,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, *, text: str = "text", keep: t
     at = len(chosen.columns) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared)
+        codec = shared.value.codec
         for part in slices(batches, at, 1_000_000, rows):
             ids, counts, decoded = [], [], []
             for tokens in codec.encode_batch("" if t is None else t for t in part.column(at).to_pylist()):
@@ -205,7 +200,7 @@ def decode(df: DataFrame, vocabulary: Vocabulary, *, ids: str = "ids", keep: tup
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in chosen.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared)
+        codec = shared.value.codec
         for batch in batches:
             out = [None if b is None else codec.decode(np.frombuffer(b, "<u4").tolist()) for b in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.binary())], [*batch.schema.names[:-1], "decoded"])

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, line_dedup, quality, simhash, substring_dedup, topk, url_filter
+from . import bpe, chat, decontaminate, license_scan, line_dedup, quality, simhash, substring_dedup, topk, url_filter
 from .common import table
 
 BLOCK, ALLOW = ("net/", "example.com/de/"), ("example.net/en/", "org/fr/")
@@ -19,6 +19,11 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), ALLOW, BLOCK, keep=("page_id",))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each line that a licence family is found and confirmed in."""
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = quality.score_quality(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_url_filter,
+        op2_license_scan,
         op3_quality_classifier,
         op4_line_dedup,
         op5_byte_bpe,
