@@ -1,0 +1 @@
+"""Compiles text corpora into validated, retrieval-ready knowledge packs on Spark."""
