@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.config import Config
@@ -27,20 +27,21 @@ def topic(name: Column, depth: Column) -> Column:
     return F.struct(name.alias("topic"), depth.cast("int").alias("depth"))
 
 
-def with_common_terms(rows: DataFrame, text: str, out: str, most: int = COMMON_TERMS) -> DataFrame:
-    """Adds ``out``, the most frequent content terms, ties by first place. All within the row: the sorted terms' runs give the counts."""
-    rows = rows.withColumn("__placed", F.array_sort(F.transform(content_terms(F.col(text)), lambda t, i: F.struct(t.alias("term"), i.alias("at")))))
-    at = F.col("__placed")
-    n = F.size(at)
-    begins = F.filter(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: (i < n) & ((i == 0) | (F.get(at, i)["term"] != F.get(at, i - 1)["term"])))
-    rows = rows.withColumn("__begins", begins)
-    counted = F.transform("__begins", lambda b, k: F.struct((b - F.coalesce(F.get("__begins", k + 1), n)).alias("fewer"), F.get(at, b)["at"].alias("at"), F.get(at, b)["term"].alias("term")))
-    return rows.withColumn(out, F.transform(F.slice(F.array_sort(counted), 1, most), lambda c: c["term"])).drop("__placed", "__begins")
+def common_terms(rows: DataFrame, key: str, text: str, out: str, most: int = COMMON_TERMS) -> DataFrame:
+    """key and ``out``, the most frequent content terms of each key's text, ties by first place; keys without terms are absent.
 
+    Terms are counted before they are shuffled, and the ranks keep only the first few of each key on the way."""
+    places = rows.select(key, F.posexplode(content_terms(F.col(text))).alias("at", "term"))
+    counted = places.groupBy(key, "term").agg(F.count("*").alias("n"), F.min("at").alias("at"))
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), "at"))
+    best = counted.withColumn("nth", nth).where(F.col("nth") <= most)
+    return best.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", "term"))), lambda x: x["term"]).alias(out))
 
-def fallback_topics(chunks: DataFrame, body: str = "body", heading: str = "heading", slug: str = "document_slug") -> DataFrame:
+
+def fallback_topics(chunks: DataFrame, key: str = "chunk_id", body: str = "body", heading: str = "heading", slug: str = "document_slug") -> DataFrame:
     """Adds ``topics``: the heading's slug and the commonest terms' slugs, three together; the first is the most specific."""
-    rows = with_common_terms(chunks, body, "__common").withColumns({"__head": slugify(F.col(heading)), "__doc": slugify(F.col(slug))})
+    rows = chunks.join(common_terms(chunks, key, body, "__common"), key, "left")
+    rows = rows.withColumns({"__head": slugify(F.col(heading)), "__doc": slugify(F.col(slug)), "__common": F.coalesce("__common", F.array().cast("array<string>"))})
     heads = F.filter(F.array("__head"), lambda h: h.isNotNull() & (h != ""))
     terms = F.filter(F.transform("__common", slugify_ascii), lambda t: t != "")
     # a heading always stays; terms are taken until three topics are there, one at least being looked at
