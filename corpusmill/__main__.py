@@ -18,7 +18,7 @@ from corpusmill.sources import files, model, sinks
 
 
 def session() -> SparkSession:
-    spark = ship(SparkSession.builder.appName("corpusmill").config("spark.sql.session.timeZone", "UTC").getOrCreate())
+    spark = ship(SparkSession.builder.appName("corpusmill").config("spark.sql.session.timeZone", "UTC").config("spark.sql.maxPlanStringLength", "100000").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -235,4 +235,4 @@ def import_pages(pages: DataFrame, *, path: str = "path", html: str = "html", mi
     rows = rows.withColumn("__nth", nth).withColumn("slug", F.when(F.col("__own").isNotNull(), F.when(F.col("__nth") == 1, F.col("__own")).otherwise(F.concat_ws("-", "__own", "__nth"))))
     again = F.row_number().over(Window.partitionBy("slug").orderBy("__nth", "path"))
     rows = rows.withColumn("__again", again)
-    return rows.select("path", "status", F.when(F.col("__again") > 1, F.concat_ws("-", "slug", "__again")).otherwise(F.col("slug")).alias("slug"), "title", "body")
+    return rows.select("path", "status", F.when(F.col("slug").isNotNull() & (F.col("__again") > 1), F.concat_ws("-", "slug", "__again")).otherwise(F.col("slug")).alias("slug"), "title", "body")
