@@ -18,7 +18,6 @@ import base64
 import heapq
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -29,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import slices
 
-CACHE = 300_000
+CACHE = 80_000
 
 
 @dataclass(frozen=True)
@@ -46,11 +45,6 @@ class Vocabulary:
             pairs = (line.split() for line in lines if line.strip())
             return cls({base64.b64decode(token): int(rank) for token, rank in pairs}, pattern)
 
-    @cached_property
-    def codec(self) -> "Codec":
-        """One for each worker, so that what a task has encoded serves the next."""
-        return Codec(self)
-
 
 SHIFT = 20  # ranks are below 2**SHIFT
 
@@ -181,8 +175,8 @@ def encode(df: DataFrame, vocabulary: Vocabulary, *, text: str = "text", keep: t
     at = len(chosen.columns) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = shared.value.codec
-        for part in slices(batches, at, 1_000_000, rows):
+        codec = Codec(shared.value)  # goes with the task, so that idle workers hold no pieces
+        for part in slices(batches, at, 500_000, rows):
             ids, counts, decoded = [], [], []
             for tokens in codec.encode_batch("" if t is None else t for t in part.column(at).to_pylist()):
                 ids.append(tokens.astype("<u4").tobytes())
@@ -200,7 +194,7 @@ def decode(df: DataFrame, vocabulary: Vocabulary, *, ids: str = "ids", keep: tup
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in chosen.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = shared.value.codec
+        codec = Codec(shared.value)  # goes with the task, so that idle workers hold no pieces
         for batch in batches:
             out = [None if b is None else codec.decode(np.frombuffer(b, "<u4").tolist()) for b in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.binary())], [*batch.schema.names[:-1], "decoded"])
