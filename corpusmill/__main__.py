@@ -20,18 +20,28 @@ from corpusmill.sources import files, model, sinks
 def session() -> SparkSession:
     spark = ship(SparkSession.builder.appName("corpusmill").config("spark.sql.session.timeZone", "UTC").config("spark.sql.maxPlanStringLength", "100000").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
+    spark.catalog.clearCache()  # files may have changed since another command of this process
     return spark
 
 
+def _written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` from a table that is read from now on, so that no later step computes it again."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ingest(args: argparse.Namespace, cfg: Config) -> int:
     spark, at = session(), plan.now()
     documents = files.discover_documents(spark, cfg.paths.raw).persist()
     if not (n := documents.count()):
         print(f"no documents in {cfg.paths.raw}")
         return 0
-    answers = None if args.stub else model.ask(segment.chunk_documents(documents, cfg.chunking), cfg.model)
-    whole = plan.full_corpus(documents, cfg, created_at=at, answers=answers, limit=args.limit) if args.full else None
-    records = (whole.records if whole else plan.compile_corpus(documents, cfg, created_at=at, answers=answers, limit=args.limit)).persist()
+    work = f"{cfg.paths.vectors}/work"
+    chunks = _written(plan.first_chunks(segment.chunk_documents(documents, cfg.chunking), args.limit), f"{work}/chunks")
+    answers = None if args.stub else _written(model.ask(chunks, cfg.model), f"{work}/answers")
+    whole = plan.full_corpus(documents, cfg, created_at=at, answers=answers, chunks=chunks) if args.full else None
+    made = whole.records if whole else plan.compile_corpus(documents, cfg, created_at=at, answers=answers, chunks=chunks)
+    records = _written(made, f"{work}/records")
     chunks = records.count()
     problems = [r["problem"] for r in annotate.validate_frontmatter(records).limit(10).collect()]
     if not args.no_files:

@@ -21,10 +21,10 @@ def first_chunks(chunks: DataFrame, limit: int | None) -> DataFrame:
     return chunks.orderBy("source_file", "document_slug", "idx").limit(limit) if limit else chunks
 
 
-def compile_corpus(documents: DataFrame, cfg: Config = Config(), *, created_at: str | None = None, answers: DataFrame | None = None, limit: int | None = None) -> DataFrame:
+def compile_corpus(documents: DataFrame, cfg: Config = Config(), *, created_at: str | None = None, answers: DataFrame | None = None, limit: int | None = None, chunks: DataFrame | None = None) -> DataFrame:
     """A row for each chunk with ``fm``, its record, and body. ``answers`` (chunk_id, answer) are a model's; without them all
     classification is by fallback. No corpus statistics: salience is 0 and nothing is related."""
-    chunks = first_chunks(segment.chunk_documents(documents, cfg.chunking), limit)
+    chunks = first_chunks(segment.chunk_documents(documents, cfg.chunking), limit) if chunks is None else chunks
     return _records(_classified(chunks, answers, cfg), cfg, created_at or now())
 
 
@@ -56,10 +56,10 @@ class Compiled:
     idf: DataFrame
 
 
-def full_corpus(documents: DataFrame, cfg: Config = Config(), *, created_at: str | None = None, answers: DataFrame | None = None, limit: int | None = None) -> Compiled:
-    """As compile_corpus, with corpus statistics, related chunks and the index. Chunks and term counts are read several times; persist
-    or write them first where they are expensive."""
-    chunks = first_chunks(segment.chunk_documents(documents, cfg.chunking), limit)
+def full_corpus(documents: DataFrame, cfg: Config = Config(), *, created_at: str | None = None, answers: DataFrame | None = None, limit: int | None = None, chunks: DataFrame | None = None) -> Compiled:
+    """As compile_corpus, with corpus statistics, related chunks and the index. Chunks are read several times; ``chunks`` are
+    those of the documents where they have been written before, which is best for all but small corpora."""
+    chunks = first_chunks(segment.chunk_documents(documents, cfg.chunking), limit) if chunks is None else chunks
     counts = salience.term_counts(chunks)
     idf = salience.inverse_frequency(counts, chunks)
     weights = salience.tfidf(counts, idf)

@@ -14,7 +14,7 @@ from corpusmill.plans.compile import compile_corpus
 
 def document_stream(spark: SparkSession, folder: str) -> DataFrame:
     """New text files of a folder, each as a document."""
-    rows = spark.readStream.schema("value string").option("wholetext", "true").option("recursiveFileLookup", "true").text(folder)
+    rows = spark.readStream.schema("value string").option("recursiveFileLookup", "true").text(folder, wholetext=True)
     rows = rows.select(F.input_file_name().alias("path"), F.regexp_replace("value", r"\r\n?", "\n").alias("text"))
     name = F.element_at(F.split("path", "/"), -1)
     rows = rows.withColumn("source_file", name).withColumn("__stem", F.regexp_replace(name, r"\.[^.]*$", ""))
