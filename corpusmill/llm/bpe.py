@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import slices
 
-CACHE = 80_000
+CACHE = 150_000
 
 
 @dataclass(frozen=True)
@@ -176,7 +176,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, *, text: str = "text", keep: t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared.value)  # goes with the task, so that idle workers hold no pieces
-        for part in slices(batches, at, 500_000, rows):
+        for part in slices(batches, at, 1_000_000, rows):
             ids, counts, decoded = [], [], []
             for tokens in codec.encode_batch("" if t is None else t for t in part.column(at).to_pylist()):
                 ids.append(tokens.astype("<u4").tobytes())
