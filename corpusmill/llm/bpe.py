@@ -6,7 +6,7 @@ ranks in order. A merge joins the two tokens at each position of its rank, from
 neighbours it touched. Where that makes a pair of a lower rank, the lower rank goes first and the rest of the positions wait. So within each
 piece merges come as in a tokenizer: lowest rank first, leftmost first. A piece that is a token itself is that token.
 
-Pieces already encoded are kept from block to block, up to ``CACHE`` of them, then forgotten.
+Pieces already encoded are kept from block to block, up to ``CACHE`` of them; then only those of the block at hand stay.
 
 Rows: null is the empty text, which has no tokens. Texts of any length go in whole. Repeated rows and null ids stay; an empty table
 gives an empty result; only the named columns are read.
@@ -18,6 +18,7 @@ import base64
 import heapq
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -45,6 +46,11 @@ class Vocabulary:
             pairs = (line.split() for line in lines if line.strip())
             return cls({base64.b64decode(token): int(rank) for token, rank in pairs}, pattern)
 
+    @cached_property
+    def codec(self) -> "Codec":
+        """One for each worker; its tables serve every task, its pieces are forgotten with the task."""
+        return Codec(self)
+
 
 SHIFT = 20  # ranks are below 2**SHIFT
 
@@ -70,6 +76,20 @@ class Codec:
         self.known: dict[str, int] = {}
         self.ids, self.begins, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
+    def tokens_of(self, pieces: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of known pieces, one after the other, and where each piece ends."""
+        at = np.fromiter(map(self.known.__getitem__, pieces), np.int64)
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        return self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begins[at] - ends + sizes, sizes)], ends
+
+    def keep(self, pieces: list[str]) -> None:
+        """Forget all but these, which the block at hand has: words that are frequent stay."""
+        ids, ends = self.tokens_of(pieces)
+        self.known = {p: i for i, p in enumerate(pieces)}
+        self.ids, self.sizes = ids, np.diff(ends, prepend=0)
+        self.begins = ends - self.sizes
+
     def learn(self, pieces: list[str]) -> None:
         ids, sizes = self.replay(pieces)
         self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces)), strict=True))
@@ -81,13 +101,9 @@ class Codec:
         distinct = set().union(*texts)
         if new := distinct.difference(self.known):
             if len(self.known) + len(new) > CACHE:
-                self.forget()
-                new = distinct
+                self.keep(sorted(distinct - new))
             self.learn(sorted(new))
-        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(texts)), np.int64)
-        sizes = self.sizes[at]
-        ends = np.cumsum(sizes)
-        ids = self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begins[at] - ends + sizes, sizes)]
+        ids, ends = self.tokens_of(chain.from_iterable(texts))
         cuts = np.append(0, ends)[np.cumsum([len(pieces) for pieces in texts[:-1]], dtype=np.int64)] if len(texts) > 1 else []
         return np.split(ids, cuts)
 
@@ -175,7 +191,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, *, text: str = "text", keep: t
     at = len(chosen.columns) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(shared.value)  # goes with the task, so that idle workers hold no pieces
+        codec = shared.value.codec
         for part in slices(batches, at, 1_000_000, rows):
             ids, counts, decoded = [], [], []
             for tokens in codec.encode_batch("" if t is None else t for t in part.column(at).to_pylist()):
@@ -183,6 +199,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, *, text: str = "text", keep: t
                 counts.append(len(tokens))
                 decoded.append(codec.decode(tokens.tolist()))
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(ids, pa.binary()), pa.array(counts, pa.int64()), pa.array(decoded, pa.binary())], [*part.schema.names[:-1], "ids", "n_tokens", "decoded"])
+        codec.forget()
 
     return chosen.mapInArrow(run, kept + ENCODED)
 
@@ -194,7 +211,7 @@ def decode(df: DataFrame, vocabulary: Vocabulary, *, ids: str = "ids", keep: tup
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in chosen.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(shared.value)  # goes with the task, so that idle workers hold no pieces
+        codec = shared.value.codec
         for batch in batches:
             out = [None if b is None else codec.decode(np.frombuffer(b, "<u4").tolist()) for b in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.binary())], [*batch.schema.names[:-1], "decoded"])

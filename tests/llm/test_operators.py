@@ -182,6 +182,16 @@ def test_tokens_equal_the_librarys(spark):
     assert bpe.encode(docs(spark, rows).limit(0), vocab).count() == 0
 
 
+def test_few_kept_pieces_change_nothing(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE", 40)
+    rng = random.Random(2)
+    texts = [[" ".join(rng.choice(["the", "qzx", "añb", "longerword", f"w{rng.randint(0, 400)}x"]) for _ in range(12)) for _ in range(4)] for _ in range(60)]
+    few, fresh = vocabulary().codec, vocabulary()
+    for block in texts:
+        assert [x.tolist() for x in few.encode_batch(block)] == [x.tolist() for x in bpe.Codec(fresh).encode_batch(block)] if block is texts[-1] else [len(x) for x in few.encode_batch(block)]
+        assert len(few.known) <= 40 + len({p for t in block for p in few.split(t)})
+
+
 def test_a_merge_that_makes_a_lower_rank_goes_first():
     ranks = {bytes([i]): i for i in range(256)} | {b"ab": 300, b"abc": 260, b"bc": 400, b"cd": 270, b"aa": 280}
     import tiktoken
