@@ -1,4 +1,4 @@
-"""Corpus pipeline: quality classifier, line dedup, SimHash near-dedup, benchmark decontamination, byte-level BPE.
+"""Corpus pipeline: quality classifier, line dedup, near-dedup, benchmark decontamination, byte-level BPE.
 
 Each stage takes (spark, docs, sf_dir) and works on every row that the stage before it kept. All but the last return the columns of
 ``docs``; a stage that changes texts sets ``n_chars`` anew. Rows without a doc_id pass all stages: no row with an id can stand for them."""
@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, decontaminate, line_dedup, quality, simhash
+from corpusmill.llm import bpe, decontaminate, line_dedup, near, quality
 from corpusmill.llm.common import stored, table
 from corpusmill.llm.queries import vocabulary
 
@@ -33,9 +33,12 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least id stays; rows that repeat its id are one."""
-    groups = simhash.near_duplicates(docs, width=3, radius=2)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
+    """Of each group of texts linked by similarities of at least 0.8 over five-word shingles, the document with the least id stays; rows that repeat its id are one."""
+    whole = docs.where("doc_id IS NOT NULL").withColumn("__node", near.node(F.col("text")))
+    found = near.near_classes(whole, width=5, similarity=0.8).withColumnRenamed("node", "__node")
+    ids = whole.groupBy("__node").agg(F.min("doc_id").alias("doc_id"))
+    rooted = ids.join(found, "__node", "left").select(F.coalesce("root", "__node").alias("root"), "doc_id", "__node")
+    first = rooted.groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     kept = docs.where("doc_id IS NOT NULL").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
 

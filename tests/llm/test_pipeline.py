@@ -1,7 +1,10 @@
 """The pipeline's stages, one after the other, against what each should do with what it got."""
 
+import random
 import re
 
+import pytest
+
 import corpus_pipeline
 from corpusmill.llm import decontaminate, quality, simhash
 
@@ -51,3 +54,55 @@ def test_stages_take_nulls_and_empty_tables(spark):
     for data in (rows, []):
         for name, stage in corpus_pipeline.STAGES:
             assert stage(spark, spark.createDataFrame(data, schema), SF).count() >= 0, name
+
+
+def grouped_by_force(texts, width=5, least=0.8):
+    """Number of each text's group."""
+    sets = []
+    for t in texts:
+        w = re.sub("[A-Z]", lambda m: m.group().lower(), t).split()
+        sets.append({tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set())
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            same = sets[i] == sets[j] if not sets[i] or not sets[j] else len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= least
+            if same and group[i] != group[j]:
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = [new if g == old else g for g in group]
+    return group
+
+
+@pytest.mark.parametrize("block", [500, 7])
+def test_near_copies_go(spark, monkeypatch, block):
+    rng = random.Random(4)
+    word = lambda: "w%d" % rng.randrange(5000)
+    texts = ["", "Two words", "two  WORDS", "two words more", "  "]
+    for n, copies in ((12, 6), (60, 12), (300, 12), (120, 60)):
+        base = [word() for _ in range(n)]
+        for _ in range(copies):  # from nearly equal ones to those that are no near copies
+            part = list(base)
+            for _ in range(rng.randint(0, max(1, n // 25))):
+                part[rng.randrange(n)] = word()
+            texts.append(" ".join(part))
+    rng.shuffle(texts)
+    want = set(grouped_by_force(texts))
+    assert len(want) < len(texts) - 20 and len(want) > 15
+    found = corpus_pipeline.near.near_classes
+    monkeypatch.setattr(corpus_pipeline.near, "near_classes", lambda df, **k: found(df, block=block, **k))
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = corpus_pipeline.near_stage(spark, docs.repartition(5), SF)
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(want)
+    assert got.columns == docs.columns
+
+
+def test_stages_behind_near_dedup(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").cache()
+    steps = dict(corpus_pipeline.STAGES)
+    lines = steps["line dedup"](spark, steps["quality classifier"](spark, docs, SF), SF).cache()
+    rows = sorted(lines.collect(), key=lambda r: r["doc_id"])
+    near = steps["simhash near-dedup"](spark, lines, SF).cache()
+    ids = [r["doc_id"] for r in rows]
+    assert sorted(r["doc_id"] for r in near.collect()) == sorted({ids[g] for g in grouped_by_force([r["text"] for r in rows])})
+    leaking = {r["doc_id"] for r in decontaminate.find_leaks(near, spark.read.parquet(f"{SF}/benchmark.parquet")).where("size(leaks) > 0").collect()}
+    clean = {r["doc_id"] for r in near.collect()} - leaking
+    assert sorted(r["doc_id"] for r in corpus_pipeline.run(spark, SF).collect()) == sorted(clean)
