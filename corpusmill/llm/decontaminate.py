@@ -1,6 +1,7 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact weighted-shingle similarity.
 
-A document leaks an item if some window of as many words as the item is at least ``similarity`` alike: over shingles of ``shingle`` words
+A document leaks an item if some window of as many words as the item, or the whole of a document with fewer words, is at least
+``similarity`` alike: over shingles of ``shingle`` words
 (the whole sequence where there are fewer), weighted by how often they occur, the sum of the smaller weights over the sum of the larger.
 
 The sum of the smaller weights can't be that large unless that share of the item's shingles stands in the window, so windows
@@ -135,18 +136,26 @@ class Index:
         fits = (low <= high) & (doc == words.doc[own[need - 1 :]])
         low = np.maximum(low, words.first[doc])[fits]
         high = np.minimum(high, words.first[doc + 1] - group.n_words)[fits]
-        best: dict[tuple[int, int], tuple[float, int]] = {}
+        best: dict[tuple[int, int], tuple[float, int, int]] = {}
+
+        def judge(start: int, n_words: int) -> None:
+            for i in group.candidates(simhash(grams[start : start + n_words - group.width + 1]), self.radius):
+                found = alike(shingles([w.lower() for w in words.words(start, start + n_words)], self.shingle), group.weights[i])
+                key = (int(words.doc[start]), i)
+                if found >= self.similarity and (key not in best or found > best[key][0]):
+                    best[key] = found, start, n_words
+
         done = -1
         for a, b in zip(low.tolist(), high.tolist(), strict=True):
             for start in range(max(a, done + 1), b + 1):
                 done = start
-                for i in group.candidates(simhash(grams[start : start + size]), self.radius):
-                    found = alike(shingles([w.lower() for w in words.words(start, start + group.n_words)], self.shingle), group.weights[i])
-                    key = (int(words.doc[start]), i)
-                    if found >= self.similarity and (key not in best or found > best[key][0]):
-                        best[key] = found, start
-        for (d, i), (found, start) in sorted(best.items()):
-            out[d].append({"item_id": group.ids[i], "similarity": found, "start": start - int(words.first[d]), "n_words": group.n_words})
+                judge(start, group.n_words)
+        docs, hits = np.unique(words.doc[own], return_counts=True)
+        lengths = words.first[docs + 1] - words.first[docs]
+        for d in docs[(hits >= need) & (lengths < group.n_words)].tolist():  # shorter than the item: one window
+            judge(int(words.first[d]), int(words.first[d + 1] - words.first[d]))
+        for (d, i), (found, start, n_words) in sorted(best.items()):
+            out[d].append({"item_id": group.ids[i], "similarity": found, "start": start - int(words.first[d]), "n_words": n_words})
 
 
 def item_runs(benchmark: DataFrame, item_id: str, text: str, most_bytes: int) -> list[list[tuple[int | None, bytes]]]:

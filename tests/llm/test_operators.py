@@ -244,6 +244,34 @@ def test_leaks_against_brute_force(spark):
     assert decontaminate.find_leaks(docs(spark, rows), bench.limit(0)).where("size(leaks) > 0").count() == 0
 
 
+def test_documents_shorter_than_an_item(spark):
+    rng = random.Random(21)
+    items = [(i, " ".join(f"w{rng.randrange(40)}" for _ in range(n))) for i, n in enumerate([59, 30, 30, 12, 5, 4, 3])]
+    rows = [(0, " ".join(items[0][1].split()[:55])), (1, ""), (2, None)]
+    for i in range(3, 150):
+        words = rng.choice(items)[1].split()
+        for _ in range(rng.randint(0, 8)):
+            if words:
+                del words[rng.choice([0, -1, rng.randrange(len(words))])]
+        rows.append((i, " ".join(words)))
+    want = Counter()
+    for i, text in rows:
+        words = (text or "").split()
+        for k, item in items:
+            own, best = item.split(), (0.0, None)
+            weights = decontaminate.shingles([w.encode() for w in own], 5)
+            for s in range(max(1, len(words) - len(own) + 1)):  # at least the whole document
+                window = words[s : s + len(own)]
+                x = decontaminate.alike(decontaminate.shingles([w.encode() for w in window], 5), weights)
+                best = max(best, (x, -s, len(window))) if x >= 0.8 else best
+            if best[1] is not None:
+                want[i, k, round(best[0], 9), -best[1], best[2]] += 1
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontaminate.find_leaks(docs(spark, rows), bench).collect()
+    assert Counter((r["doc_id"], x["item_id"], round(x["similarity"], 9), x["start"], x["n_words"]) for r in got for x in r["leaks"]) == want
+    assert (0, 0, round(51 / 55, 9), 0, 55) in want
+
+
 # --- 7 ----------------------------------------------------------------------------------------------------------------------------------
 
 
