@@ -33,14 +33,18 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts linked by similarities of at least 0.8 over five-word shingles, the document with the least id stays; rows that repeat its id are one."""
+    """Of each group of texts linked by similarities of at least 0.8 over five-word shingles, the document with the least id stays.
+
+    A document is an id with its words: where an id repeats with other words, each is judged for itself. Rows equal in both are one, the
+    least of them by text and then the other columns."""
     whole = docs.where("doc_id IS NOT NULL").withColumn("__node", near.node(F.col("text")))
     found = near.near_classes(whole, width=5, similarity=0.8).withColumnRenamed("node", "__node")
     ids = whole.groupBy("__node").agg(F.min("doc_id").alias("doc_id"))
     rooted = ids.join(found, "__node", "left").select(F.coalesce("root", "__node").alias("root"), "doc_id", "__node")
-    first = rooted.groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    kept = docs.where("doc_id IS NOT NULL").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+    first = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "__node")).alias("first")).select("first.*")
+    others = ["text", *(c for c in docs.columns if c not in ("doc_id", "text"))]
+    kept = whole.join(first, ["doc_id", "__node"], "left_semi").groupBy("doc_id", "__node").agg(F.min(F.struct(*others)).alias("row"))
+    return kept.select("doc_id", "row.*").unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -106,3 +106,12 @@ def test_stages_behind_near_dedup(spark):
     leaking = {r["doc_id"] for r in decontaminate.find_leaks(near, spark.read.parquet(f"{SF}/benchmark.parquet")).where("size(leaks) > 0").collect()}
     clean = {r["doc_id"] for r in near.collect()} - leaking
     assert sorted(r["doc_id"] for r in corpus_pipeline.run(spark, SF).collect()) == sorted(clean)
+
+
+def test_repeated_ids_with_other_texts_stay(spark):
+    long, other = " ".join(f"w{i}" for i in range(50)), " ".join(f"v{i}" for i in range(50))
+    rows = [(1, long), (2, long), (2, other), (2, other), (2, other.upper()), (3, "third text of all")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for partitions in (1, 4):
+        got = corpus_pipeline.near_stage(spark, docs.repartition(partitions), SF).collect()
+        assert sorted((r["doc_id"], r["text"]) for r in got) == [(1, long), (2, other.upper()), (3, "third text of all")]
