@@ -8,6 +8,9 @@ Scanning is column expressions only. Weights become map literals. A set of ancho
 paragraph without one can reach the calibrated threshold, whatever else it says; texts and paragraphs without an anchor are passed over
 and lose nothing. A predicted family is confirmed if the paragraph holds enough of the word pairs of one of the family's templates.
 
+A paragraph is a line; hard-wrapped notices stand in several, so runs of non-blank lines are judged too, and give a row for each family
+that is confirmed in the run but in none of its lines.
+
 Rows: null and empty texts have no paragraphs. Texts go in whole. Repeated rows and null ids are scanned each for itself, an empty table
 gives an empty result, and only the named columns are read. Equal log odds go to the family first in the alphabet.
 """
@@ -164,33 +167,73 @@ def _map(values: dict[str, float]) -> Column:
     return F.map_from_arrays(F.array(*[F.lit(k) for k in values]), F.array(*[F.lit(v) for v in values.values()]))
 
 
-def _sum(weights: dict[str, float]) -> Column:
+def _sum(weights: dict[str, float], found: Column | str = "__grams") -> Column:
     known = _map(weights)
-    return F.aggregate("__grams", F.lit(0.0), lambda s, g: s + F.coalesce(F.element_at(known, g), F.lit(0.0)))
+    return F.aggregate(found, F.lit(0.0), lambda s, g: s + F.coalesce(F.element_at(known, g), F.lit(0.0)))
 
 
-def scan_licenses(df: DataFrame, model: LicenseModel | None = None, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",), least_alike: float = 0.5) -> DataFrame:
-    """A row for each paragraph (line) of a confirmed licence: ``keep`` columns, paragraph (its number, from 0), family, probability,
-    alike (share of the best template's word pairs that it holds) and what it says."""
-    model = model or fit_licenses()
-    anchor = r"(?i)(?<![a-z0-9])(?:" + "|".join(re.escape(a) for a in sorted(model.anchors, key=len, reverse=True)) + r")(?![a-z0-9])"
-    rows = df.select(*[F.col(k).alias(f"__keep{i}") for i, k in enumerate(keep)], F.col(text).cast("string").alias("__text")).where(F.col("__text").rlike(anchor))
-    kept = [f"__keep{i}" for i in range(len(keep))]
-    rows = rows.select(*kept, F.posexplode(F.split("__text", "\n")).alias("paragraph", "says")).where(F.col("says").rlike(anchor))
+def _grams(rows: DataFrame, *keep: str) -> DataFrame:
+    """The columns ``keep`` and says, with its distinct word pairs and grams."""
     words = F.regexp_extract_all(F.translate("says", _UPPER, _LOWER), F.lit(f"({WORD})"), 1)
-    rows = rows.select(*kept, "paragraph", "says", words.alias("__words"))
+    rows = rows.select(*keep, "says", words.alias("__words"))
     two = F.zip_with(F.slice("__words", 1, F.greatest(F.size("__words") - 1, F.lit(0))), F.slice("__words", 2, F.size("__words")), lambda a, b: F.concat_ws(" ", a, b))
-    rows = rows.select(*kept, "paragraph", "says", F.array_distinct(two).alias("__pairs"), F.array_union("__words", two).alias("__grams"))
-    odds = [
-        F.struct((F.lit(model.intercepts[k]) + _sum(w)).alias("z"), F.lit(-i).alias("first"), F.lit(k).alias("family"))
-        for i, (k, w) in enumerate(sorted(model.weights.items()))
-    ]
-    rows = rows.select(*kept, "paragraph", "says", "__pairs", F.greatest(*odds).alias("__best")).where(F.col("__best.z") >= model.least)
+    return rows.select(*keep, "says", F.array_distinct(two).alias("__pairs"), F.array_union("__words", two).alias("__grams"))
+
+
+def _alike(family: Column, found: Column) -> Column:
+    """Share of the family's best template's word pairs that are in ``found``."""
     templates = {k: [pairs(t) for t in [*NOTICES[k], *NAMES[k]] if pairs(t)] for k in NAMES}
     held = F.lit(0.0)
-    for family, sets in templates.items():
-        shares = [F.size(F.array_intersect(F.array(*[F.lit(p) for p in s]), "__pairs")) / float(len(s)) for s in sets]
-        held = F.when(F.col("__best.family") == family, F.greatest(*shares) if len(shares) > 1 else shares[0]).otherwise(held)
-    rows = rows.withColumn("alike", held).where(F.col("alike") >= least_alike)
+    for name, sets in templates.items():
+        shares = [F.size(F.array_intersect(F.array(*[F.lit(p) for p in s]), found)) / float(len(s)) for s in sets]
+        held = F.when(family == name, F.greatest(*shares) if len(shares) > 1 else shares[0]).otherwise(held)
+    return held
+
+
+def _blocks(text: str) -> Column:
+    """Runs of lines without blank ones between, with the number of the first line of each."""
+    parts = F.split(text, r"\n[ \t\r]*\n")
+    empty = F.struct(F.lit(0).alias("next"), F.array().cast("array<struct<paragraph:int,says:string>>").alias("made"))
+
+    def add(state: Column, part: Column) -> Column:
+        made = F.concat(state["made"], F.array(F.struct(state["next"].alias("paragraph"), part.alias("says"))))
+        return F.struct((state["next"] + F.length(part) - F.length(F.replace(part, F.lit("\n"), F.lit(""))) + 2).alias("next"), made.alias("made"))
+
+    return F.aggregate(parts, empty, add, lambda state: state["made"])
+
+
+def scan_licenses(df: DataFrame, model: LicenseModel | None = None, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",), least_alike: float = 0.5) -> DataFrame:
+    """A row for each line of a confirmed licence, and for each family that a run of non-blank lines confirms but none of its lines alone:
+    ``keep`` columns, paragraph (number of the first line, from 0), family, probability, alike (share of the best template's word pairs
+    that it holds) and what it says."""
+    model = model or fit_licenses()
+    anchor = r"(?i)(?<![a-z0-9])(?:" + "|".join(re.escape(a) for a in sorted(model.anchors, key=len, reverse=True)) + r")(?![a-z0-9])"
+    whole = df.select(*[F.col(k).alias(f"__keep{i}") for i, k in enumerate(keep)], F.col(text).cast("string").alias("__text")).where(F.col("__text").rlike(anchor))
+    kept = [f"__keep{i}" for i in range(len(keep))]
+
+    def each(found: Column) -> list[Column]:
+        return [
+            F.struct((F.lit(model.intercepts[k]) + _sum(w, found)).alias("z"), F.lit(-i).alias("first"), F.lit(k).alias("family"))
+            for i, (k, w) in enumerate(sorted(model.weights.items()))
+        ]
+
+    odds = each(F.col("__grams"))
+    lines = whole.select(*kept, F.posexplode(F.split("__text", "\n")).alias("paragraph", "says")).where(F.col("says").rlike(anchor))
+    lines = _grams(lines, *kept, "paragraph").select(*kept, "paragraph", "says", "__pairs", F.greatest(*odds).alias("__best")).where(F.col("__best.z") >= model.least)
+    lines = lines.withColumn("alike", _alike(F.col("__best.family"), F.col("__pairs"))).where(F.col("alike") >= least_alike)
+    # hard-wrapped notices: every likely family of a run of lines, unless one of its lines shows it alone
+    runs = whole.select(*kept, F.inline(_blocks("__text"))).where(F.col("says").contains("\n") & F.col("says").rlike(anchor))
+    runs = _grams(runs, *kept, "paragraph").select(*kept, "paragraph", "says", "__pairs", F.explode(F.filter(F.array(*odds), lambda o: o["z"] >= model.least)).alias("__best"))
+    runs = runs.withColumn("alike", _alike(F.col("__best.family"), F.col("__pairs"))).where(F.col("alike") >= least_alike)
+
+    def shows(line: Column) -> Column:
+        """Whether the line alone gives a row of this family."""
+        words = F.regexp_extract_all(F.translate(line, _UPPER, _LOWER), F.lit(f"({WORD})"), 1)
+        two = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.size(words)), lambda x, y: F.concat_ws(" ", x, y))
+        best = F.greatest(*each(F.array_union(words, two)))
+        return (best["family"] == F.col("__best.family")) & (best["z"] >= model.least) & (_alike(F.col("__best.family"), two) >= least_alike)
+
+    runs = runs.where(~F.exists(F.split("says", "\n"), shows))
+    rows = lines.unionByName(runs)
     probability = 1 / (1 + F.exp(-(F.col("__best.z") * model.slope + model.offset)))
     return rows.select(*[F.col(f"__keep{i}").alias(k) for i, k in enumerate(keep)], "paragraph", F.col("__best.family").alias("family"), probability.alias("probability"), "alike", "says")

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 from collections import Counter
 
 import pytest
@@ -89,6 +90,21 @@ def test_licences(spark):
         assert anchor.search(line) or model.predict(line)[0] == license_scan.UNKNOWN
 
 
+def test_wrapped_licences(spark):
+    rows, want, prose = [], Counter(), "Some prose of the day that has nothing to do with it.\nA second line."
+    for i, (family, notice) in enumerate((k, n) for k in ("ISC", "MIT", "BSD") for n in license_scan.NOTICES[k]):
+        for j, width in enumerate((75, 40)):
+            lines = textwrap.fill(notice, width)
+            rows += [(10 * i + j, lines), (10 * i + j + 5, f"{prose}\n\n{lines}\n \n{prose}")]
+            want[10 * i + j, 0, family] += 1
+            want[10 * i + j + 5, 3, family] += 1
+    got = license_scan.scan_licenses(docs(spark, rows)).collect()
+    found = {(r["doc_id"], r["family"]) for r in got}
+    assert found == {(d, f) for d, _, f in want}
+    runs = [r for r in got if "\n" in r["says"]]
+    assert len(runs) >= 4 and all(want[r["doc_id"], r["paragraph"], r["family"]] for r in runs)
+
+
 # --- 3 ----------------------------------------------------------------------------------------------------------------------------------
 
 
