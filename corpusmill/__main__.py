@@ -13,8 +13,10 @@ from corpusmill.config import Config, load_config
 from corpusmill.functions.text import slug_of
 from corpusmill.operators import annotate, html, pack, search, segment
 from corpusmill.plans import compile as plan
+from corpusmill.reporting import progress
 from corpusmill.session import ship
 from corpusmill.sources import files, model, sinks
+from corpusmill.sources.collection import Collection
 
 
 def session() -> SparkSession:
@@ -30,32 +32,46 @@ def _written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def collection(spark: SparkSession, cfg: Config) -> Collection:
+    return Collection(spark, f"{cfg.paths.chroma_dir}/{cfg.embeddings.collection_name}")
+
+
 def ingest(args: argparse.Namespace, cfg: Config) -> int:
     spark, at = session(), plan.now()
-    documents = files.discover_documents(spark, cfg.paths.raw).persist()
-    if not (n := documents.count()):
-        print(f"no documents in {cfg.paths.raw}")
+    told = progress(args.plain, spark)
+    with told.stage("discover") as notes:
+        documents = files.discover_documents(spark, cfg.paths.raw_dir).persist()
+        notes.append(f"{(n := documents.count())} documents")
+    if not n:
+        print(f"no documents in {cfg.paths.raw_dir}")
         return 0
-    work = f"{cfg.paths.vectors}/work"
-    chunks = _written(plan.first_chunks(segment.chunk_documents(documents, cfg.chunking), args.limit), f"{work}/chunks")
-    answers = None if args.stub else _written(model.ask(chunks, cfg.model), f"{work}/answers")
+    work = f"{cfg.paths.chroma_dir}/work"
+    with told.stage("chunk"):
+        chunks = _written(plan.first_chunks(segment.chunk_documents(documents, cfg.chunking), args.limit), f"{work}/chunks")
+    with told.stage("classify") as notes:
+        answers = None if args.stub else _written(model.ask(chunks, cfg.model), f"{work}/answers")
+        if answers is not None:
+            notes.append(f"{answers.where('answer IS NULL').count()} without an answer")
     whole = plan.full_corpus(documents, cfg, created_at=at, answers=answers, chunks=chunks) if args.full else None
     made = whole.records if whole else plan.compile_corpus(documents, cfg, created_at=at, answers=answers, chunks=chunks)
-    records = _written(made, f"{work}/records")
-    chunks = records.count()
+    with told.stage("records") as notes:
+        records = _written(made, f"{work}/records")
+        notes.append(f"{(chunks := records.count())} chunks")
     problems = [r["problem"] for r in annotate.validate_frontmatter(records).limit(10).collect()]
     if not args.no_files:
-        sinks.write_chunk_files(records, cfg.paths.chunks)
+        with told.stage("files"):
+            sinks.write_chunk_files(records, cfg.paths.chunks_dir)
     index = {"generated_at": at, "corpus_stats": {"total_documents": n, "total_chunks": chunks, "total_entries": 0}, "entries": {}}
     if whole:
         seen = records.select(F.countDistinct("fm.document_slug")).first()[0]
         index = sinks.index_object(whole.entries, whole.siblings, generated_at=at, documents=seen, chunks=chunks)
-        Path(cfg.paths.index_md).write_text(sinks.index_markdown(index, cfg.index.title)[0], encoding="utf-8")
+        Path(cfg.paths.index_md).write_text(sinks.index_markdown(index, cfg.pack.index_title)[0], encoding="utf-8")
         rows = pack.flat_metadata(records)
-        text = records.select(F.col("fm.chunk_id").alias("chunk_id"), pack.embedding_text(F.col("body"), F.col("fm.aliases"), cfg.embedding.alias_strategy).alias("document"))
-        rows.join(text, "chunk_id").write.mode("overwrite").parquet(f"{cfg.paths.vectors}/{cfg.embedding.collection}")
-        whole.weights.write.mode("overwrite").parquet(f"{cfg.paths.vectors}/weights")
-        whole.idf.write.mode("overwrite").parquet(f"{cfg.paths.vectors}/idf")
+        text = records.select(F.col("fm.chunk_id").alias("chunk_id"), pack.embedding_text(F.col("body"), F.col("fm.aliases"), cfg.embeddings.alias_strategy).alias("document"))
+        with told.stage("collection") as notes:
+            notes.append(f"{collection(spark, cfg).upsert(rows.join(text, 'chunk_id'))} chunks upserted")
+        whole.weights.write.mode("overwrite").parquet(f"{cfg.paths.chroma_dir}/weights")
+        whole.idf.write.mode("overwrite").parquet(f"{cfg.paths.chroma_dir}/idf")
     sinks.write_json(index | {"backend": files.STUB_BACKEND if args.stub else "ModelClassifier"}, cfg.paths.index_json)
     print(f"{n} documents, {chunks} chunks, {len(problems)} problems shown")
     for p in problems:
@@ -65,11 +81,15 @@ def ingest(args: argparse.Namespace, cfg: Config) -> int:
 
 def query(args: argparse.Namespace, cfg: Config) -> int:
     spark = session()
-    if not Path(f"{cfg.paths.vectors}/weights").is_dir():
+    held = collection(spark, cfg)
+    if not held.versions() or not held.count():
         print("nothing to search; run ingest --full first")
         return 1
-    weights, idf = spark.read.parquet(f"{cfg.paths.vectors}/weights"), spark.read.parquet(f"{cfg.paths.vectors}/idf")
-    for row in search.lexical_top_k(weights, idf, args.text, args.n).collect():
+    found = held.query(args.text, args.n)
+    if args.words:
+        weights, idf = (spark.read.parquet(f"{cfg.paths.chroma_dir}/{name}") for name in ("weights", "idf"))
+        found = search.lexical_top_k(weights, idf, args.text, args.n)
+    for row in found.collect():
         print(f"{row['score']:.3f}  {row['chunk_id']}")
     return 0
 
@@ -83,7 +103,7 @@ def doctor(args: argparse.Namespace, cfg: Config) -> int:
         ready = False
     print(f"yaml: {'ok' if ready else 'missing'}")
     print(f"model: {model.healthcheck(cfg.model)[1]}")
-    for name in ("raw", "chunks", "vectors"):
+    for name in ("raw_dir", "chunks_dir", "chroma_dir"):
         folder = Path(getattr(cfg.paths, name))
         print(f"{name}: {folder} ({sum(1 for _ in folder.rglob('*')) if folder.is_dir() else 'absent'})")
     return int(not ready)
@@ -93,7 +113,7 @@ def import_html(args: argparse.Namespace, cfg: Config) -> int:
     spark = session()
     pages = html.import_pages(files.discover_pages(spark, args.folder), min_words=args.min_words).persist()
     done = pages.where("status = 'converted'").select(F.concat("slug", F.lit(".md")).alias("name"), F.concat(F.lit("# "), "title", F.lit("\n\n"), "body", F.lit("\n")).alias("text"))
-    sinks.write_named_files(done, args.out or cfg.paths.raw)
+    sinks.write_named_files(done, args.out or cfg.paths.raw_dir)
     counts = {r["status"]: r["count"] for r in pages.groupBy("status").count().collect()}
     print(f"{counts.get('converted', 0)} converted, {counts.get('stub', 0)} stubs, {counts.get('unparseable', 0)} unparseable")
     if args.verbose:
@@ -113,7 +133,7 @@ def parsed_records(parsed: DataFrame) -> DataFrame:
 
 def export(args: argparse.Namespace, cfg: Config) -> int:
     spark, at = session(), plan.now()
-    chunks = pack.pack_chunks(parsed_records(files.read_chunk_files(spark, cfg.paths.chunks))).persist()
+    chunks = pack.pack_chunks(parsed_records(files.read_chunk_files(spark, cfg.paths.chunks_dir))).persist()
     stats = chunks.agg(F.countDistinct("source.doc").alias("d"), F.count("*").alias("n")).first()
     pack_id = args.id or slug_of(Path(args.out).stem)
     header = pack.pack_header(cfg, pack_id=pack_id, name=args.name or pack_id, description=args.description or f"{stats['d']} documents / {stats['n']} chunks", version=args.pack_version, built_at=at, stub=files.read_backend_stub(cfg.paths.index_json))
@@ -124,7 +144,7 @@ def export(args: argparse.Namespace, cfg: Config) -> int:
     print(f"{sinks.write_pack(chunks, header, args.out)} chunks in {args.out}")
     if args.archive:
         p = cfg.paths
-        print(sinks.archive_build(raw_dir=p.raw, chunks_dir=p.chunks, index_json=p.index_json, index_md=p.index_md, pack_path=args.out, archive_root=p.archive, pack_id=pack_id, built_at=at))
+        print(sinks.archive_build(raw_dir=p.raw_dir, chunks_dir=p.chunks_dir, index_json=p.index_json, index_md=p.index_md, pack_path=args.out, archive_root=p.archive_dir, pack_id=pack_id, built_at=at))
     return 0
 
 
@@ -140,6 +160,7 @@ def main(argv: list[str] | None = None) -> int:
     c = commands.add_parser("query")
     c.add_argument("text")
     c.add_argument("-n", type=int, default=5)
+    c.add_argument("--words", action="store_true", help="by TF-IDF of the words instead of vectors")
     c.set_defaults(run=query)
     commands.add_parser("doctor").set_defaults(run=doctor)
     c = commands.add_parser("import-html")

@@ -25,15 +25,15 @@ def whole_files(spark: SparkSession, folder: str, glob: str | None = None, recur
 
 
 def discover_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """slug, source_file, title and text of the documents below a folder; none if there is no such folder."""
-    schema = "slug string, source_file string, title string, text string"
+    """slug, source_file, title, text and path of the documents below a folder; none if there is no such folder."""
+    schema = "slug string, source_file string, title string, text string, path string"
     if "://" not in folder and not Path(folder).is_dir():
         return spark.createDataFrame([], schema)
     rows = whole_files(spark, folder)
     rows = rows.where(F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).isin(*SUFFIXES))
     name = F.url_decode(F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\+", "%2B"))
     rows = rows.withColumn("source_file", name).withColumn("__stem", F.regexp_replace("source_file", r"\.[^.]*$", ""))
-    return with_title(rows.withColumn("slug", slugify(F.col("__stem"))), "text", "__stem").select("slug", "source_file", "title", "text")
+    return with_title(rows.withColumn("slug", slugify(F.col("__stem"))), "text", "__stem").select("slug", "source_file", "title", "text", "path")
 
 
 def discover_pages(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.config import Model
+from corpusmill.config import Section
 
 SYSTEM = (
     "You classify one chunk of a document. Answer with a single JSON object with the keys chunk_type, summary, topics (a list of objects with "
@@ -26,7 +26,7 @@ def prompt() -> Column:
     return F.concat_ws("\n", F.concat(F.lit("Document: "), F.col("document_title")), heading, place, F.lit('"""'), F.col("body"), F.lit('"""'))
 
 
-def healthcheck(cfg: Model) -> tuple[bool, str]:
+def healthcheck(cfg: Section) -> tuple[bool, str]:
     url = cfg.base_url.rstrip("/") + "/models"
     try:
         with urllib.request.urlopen(url, timeout=8):
@@ -35,7 +35,7 @@ def healthcheck(cfg: Model) -> tuple[bool, str]:
         return False, f"unreachable ({url}): {e}"
 
 
-def ask(chunks: DataFrame, cfg: Model) -> DataFrame:
+def ask(chunks: DataFrame, cfg: Section) -> DataFrame:
     """chunk_id and answer, null where each of retries + 1 attempts failed."""
 
     def call(text: str) -> str | None:
