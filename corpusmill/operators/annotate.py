@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+import math
+from collections import Counter
+from typing import Any
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from corpusmill.config import Config
-from corpusmill.functions.text import content_terms, first_sentence, slugify, slugify_ascii, strip
+from corpusmill.functions.text import content_terms_of, first_sentence, slug_of, slugify, slugify_ascii, strip
 
 # --- fixed values: what the fields of a record may hold -----------------------------------------------------------------------------------
 CHUNK_TYPES = ("section", "definition", "procedure", "fact", "idiom", "narrative", "reference")
@@ -27,28 +34,27 @@ def topic(name: Column, depth: Column) -> Column:
     return F.struct(name.alias("topic"), depth.cast("int").alias("depth"))
 
 
-def common_terms(rows: DataFrame, key: str, text: str, out: str, most: int = COMMON_TERMS) -> DataFrame:
-    """key and ``out``, the most frequent content terms of each key's text, ties by first place; keys without terms are absent.
+@F.pandas_udf(ArrayType(StringType()))
+def _common_terms(texts: pd.Series) -> pd.Series:
+    return pd.Series([[] if t is None else [term for term, _ in Counter(content_terms_of(t)).most_common(COMMON_TERMS)] for t in texts])
+
 
-    Terms are counted before they are shuffled, and the ranks keep only the first few of each key on the way."""
-    places = rows.select(key, F.posexplode(content_terms(F.col(text))).alias("at", "term"))
-    counted = places.groupBy(key, "term").agg(F.count("*").alias("n"), F.min("at").alias("at"))
-    nth = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), "at"))
-    best = counted.withColumn("nth", nth).where(F.col("nth") <= most)
-    return best.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", "term"))), lambda x: x["term"]).alias(out))
+def common_terms(text: Column) -> Column:
+    """The most frequent content terms of a text, ties by first place. Counting stays within the row: by aggregation every term of the
+    corpus would be shuffled, and the texts for the join behind it."""
+    return _common_terms(text)
 
 
-def fallback_topics(chunks: DataFrame, key: str = "chunk_id", body: str = "body", heading: str = "heading", slug: str = "document_slug") -> DataFrame:
+def fallback_topics(chunks: DataFrame, body: str = "body", heading: str = "heading", slug: str = "document_slug") -> DataFrame:
     """Adds ``topics``: the heading's slug and the commonest terms' slugs, three together; the first is the most specific."""
-    rows = chunks.join(common_terms(chunks, key, body, "__common"), key, "left")
-    rows = rows.withColumns({"__head": slugify(F.col(heading)), "__doc": slugify(F.col(slug)), "__common": F.coalesce("__common", F.array().cast("array<string>"))})
+    rows = chunks.withColumns({"__head": slugify(F.col(heading)), "__doc": slugify(F.col(slug)), "__common": common_terms(F.col(body))})
     heads = F.filter(F.array("__head"), lambda h: h.isNotNull() & (h != ""))
     terms = F.filter(F.transform("__common", slugify_ascii), lambda t: t != "")
     # a heading always stays; terms are taken until three topics are there, one at least being looked at
-    names = F.slice(F.array_distinct(F.concat(heads, terms)), 1, FALLBACK_TOPICS)
-    names = F.when(F.size(names) > 0, names).otherwise(F.array(F.coalesce(F.nullif(F.col("__doc"), F.lit("")), F.lit("unclassified"))))
+    rows = rows.withColumn("__names", F.slice(F.array_distinct(F.concat(heads, terms)), 1, FALLBACK_TOPICS))
+    names = F.when(F.size("__names") > 0, F.col("__names")).otherwise(F.array(F.coalesce(F.nullif(F.col("__doc"), F.lit("")), F.lit("unclassified"))))
     rows = rows.withColumn("topics", F.transform(names, lambda n, i: topic(n, F.when(i == 0, 0).otherwise(1))))
-    return rows.drop("__head", "__doc", "__common")
+    return rows.drop("__head", "__doc", "__common", "__names")
 
 
 def topic_path(topics: Column) -> Column:
@@ -92,12 +98,52 @@ def default_goals() -> Column:
 # --- a model's answer ---------------------------------------------------------------------------------------------------------------------
 
 
+def _plain(value: Any) -> Any:
+    """Numbers that JSON has no name for as texts."""
+    if isinstance(value, float) and not math.isfinite(value):
+        return str(value)
+    if isinstance(value, dict):
+        return {k: _plain(v) for k, v in value.items()}
+    return [_plain(v) for v in value] if isinstance(value, list) else value
+
+
+def _named(value: Any, key: str) -> Any:
+    """An object of a list with the text at ``key`` as a slug; as it is, stripped, where it makes none."""
+    if isinstance(value, dict) and isinstance(value.get(key), str):
+        return value | {key: slug_of(value[key]) or value[key].strip()}
+    return value
+
+
+def read_object(text: str | None) -> str | None:
+    """A JSON object as plain JSON in which the order of aliases cannot be lost, null for anything else. Of a repeated key the last value
+    counts, NaN and infinite numbers become texts, names become slugs (accents go, other characters beyond ASCII vanish), and aliases a
+    list of pairs in the order of the object."""
+    try:
+        found = json.loads(text or "")
+    except (ValueError, RecursionError):
+        return None
+    if not isinstance(found, dict):
+        return None
+    if isinstance(topics := found.get("topics"), list):
+        found["topics"] = [x | {"topic": slug_of(str(x.get("topic", "")))} if isinstance(x, dict) else x for x in topics]
+    if isinstance(goals := found.get("goal_affinity"), list):
+        found["goal_affinity"] = [_named(x, "domain") for x in goals]
+    pairs = found.get("aliases") if isinstance(found.get("aliases"), dict) else {}
+    found["aliases"] = [[slug_of(k) or k.strip(), v.strip()] for k, v in pairs.items() if isinstance(v, str) and k.strip() and v.strip()]
+    return json.dumps(_plain(found))
+
+
+@F.pandas_udf(StringType())
+def _read_objects(texts: pd.Series) -> pd.Series:
+    return texts.map(read_object)
+
+
 def extract_json(answer: Column) -> Column:
-    """The first fenced object, else what stands from the first to the last brace, as VARIANT; null unless it is an object."""
+    """The first fenced object, else what stands from the first to the last brace, read by ``read_object``, as VARIANT; null unless it is
+    an object. A model's answer is slow to come by, so reading it in Python costs little, and VARIANT sorts keys and refuses repeated ones."""
     fenced = F.nullif(F.regexp_extract(answer, r"(?s)```(?:json)?\s*(\{.*?\})\s*```", 1), F.lit(""))
     braced = F.nullif(F.regexp_extract(answer, r"(?s)(\{.*\})", 1), F.lit(""))
-    parsed = F.try_parse_json(F.coalesce(fenced, braced))
-    return F.when(F.schema_of_variant(parsed).startswith("OBJECT"), parsed)
+    return F.try_parse_json(_read_objects(F.coalesce(fenced, braced)))
 
 
 def _get(value: Column, path: str, kind: str = "string") -> Column:
@@ -138,12 +184,12 @@ def _elements(value: Column, path: str) -> Column:
 
 
 def given_topics(value: Column) -> Column:
-    """Names as slugs (names beyond ASCII lose those characters), no name twice, six at most."""
+    """Names, no name twice, six at most; depths whole and from 0 to 4."""
     kind = lambda x: _kind(x, "$.depth")
     whole = lambda x: F.when(kind(x) == "BOOLEAN", F.when(_get(x, "$.depth", "boolean"), 1).otherwise(0)).when(kind(x) == "STRING", strip(_get(x, "$.depth")).try_cast("int")).otherwise(_get(x, "$.depth", "double").try_cast("int"))
     named = F.transform(
         _elements(value, "$.topics"),
-        lambda x: topic(slugify_ascii(F.regexp_replace(F.coalesce(_get(x, "$.topic"), F.lit("")), r"[^\x00-\x7f]", "")), F.least(F.lit(DEEPEST), F.greatest(F.lit(0), F.coalesce(whole(x), F.lit(0))))),
+        lambda x: topic(F.coalesce(_get(x, "$.topic"), F.lit("")), F.least(F.lit(DEEPEST), F.greatest(F.lit(0), F.coalesce(whole(x), F.lit(0))))),
     )
     return F.slice(_first_of(F.filter(named, lambda t: t["topic"] != ""), "topic", TOPICS), 1, MOST_TOPICS)
 
@@ -155,34 +201,31 @@ def _first_of(items: Column, key: str, kind: str) -> Column:
 
 
 def given_aliases(value: Column) -> Column:
-    """Pairs of texts that aren't blank, keys as slugs where they make one; a later pair takes the place of an earlier one of its key."""
-    entries = F.map_entries(F.coalesce(_get(value, "$.aliases", "map<string,variant>"), F.create_map().cast("map<string,variant>")))
-    texts = F.filter(entries, lambda e: F.coalesce(F.schema_of_variant(e["value"]) == "STRING", F.lit(False)))
-    texts = F.transform(texts, lambda e: F.struct(strip(e["key"]).alias("key"), strip(F.try_variant_get(e["value"], "$", "string")).alias("value")))
-    texts = F.filter(texts, lambda e: (e["key"] != "") & (e["value"] != ""))
-    slug = lambda k: F.coalesce(F.nullif(slugify_ascii(F.regexp_replace(k, r"[^\x00-\x7f]", "")), F.lit("")), k)
-    pairs = F.transform(texts, lambda e: F.struct(slug(e["key"]).alias("key"), e["value"].alias("value")))
+    """Pairs of texts that aren't blank, in the order of the answer, until four are there; a later pair takes the place of an earlier one
+    of its key."""
+    listed = F.coalesce(_get(value, "$.aliases", "array<array<string>>"), F.array().cast("array<array<string>>"))
     start = F.array().cast(ALIASES)
 
-    def put(acc: Column, x: Column) -> Column:
+    def put(acc: Column, pair: Column) -> Column:
+        x = F.struct(pair[0].alias("key"), pair[1].alias("value"))
         known = F.exists(acc, lambda y: y["key"] == x["key"])
-        return F.when(known, F.transform(acc, lambda y: F.when(y["key"] == x["key"], x).otherwise(y))).when(F.size(acc) < MOST_ALIASES, F.concat(acc, F.array(x))).otherwise(acc)
+        with_ = F.when(known, F.transform(acc, lambda y: F.when(y["key"] == x["key"], x).otherwise(y))).otherwise(F.concat(acc, F.array(x)))
+        return F.when(F.size(acc) < MOST_ALIASES, with_).otherwise(acc)
 
-    return F.aggregate(pairs, start, put)
+    return F.aggregate(listed, start, put)
 
 
 def given_goals(value: Column) -> Column:
-    """Domains that are texts, as slugs where they make one, with weights in 0 to 1; four at most, ``general`` if there are none."""
+    """Domains that are texts, with weights in 0 to 1; four at most, ``general`` if there are none."""
     named = F.filter(_elements(value, "$.goal_affinity"), lambda x: _is_text(x, "$.domain") & (F.coalesce(strip(_get(x, "$.domain")), F.lit("")) != ""))
-    slug = lambda d: F.coalesce(F.nullif(slugify_ascii(F.regexp_replace(d, r"[^\x00-\x7f]", "")), F.lit("")), strip(d))
-    goals = F.slice(F.transform(named, lambda x: F.struct(slug(_get(x, "$.domain")).alias("domain"), as_share(x, "$.weight", 0.5).alias("weight"))), 1, MOST_GOALS)
+    goals = F.slice(F.transform(named, lambda x: F.struct(_get(x, "$.domain").alias("domain"), as_share(x, "$.weight", 0.5).alias("weight"))), 1, MOST_GOALS)
     return F.when(F.size(goals) > 0, goals).otherwise(default_goals())
 
 
 def classify_answers(chunks: DataFrame, answer: str = "answer", cfg: Config = Config()) -> DataFrame:
     """Adds the classification that a model's answer gives, each field coerced or replaced by its fallback. Without an object in the answer
     all are fallbacks, confidence is 0.3 at most and ``fallback`` is true."""
-    rows = fallback_topics(chunks.withColumn("__raw", extract_json(F.col(answer))).withColumn("__kept", F.col(answer)))
+    rows = fallback_topics(chunks.withColumn("__raw", extract_json(F.col(answer))))
     raw = F.coalesce(F.col("__raw"), F.parse_json(F.lit("{}")))
     rows = rows.withColumns({"__v": raw, "fallback": F.col("__raw").isNull(), "__own": F.col("topics")})
     v, p = F.col("__v"), cfg.provenance
@@ -202,7 +245,7 @@ def classify_answers(chunks: DataFrame, answer: str = "answer", cfg: Config = Co
             "standalone": as_bool(v, "$.standalone", True),
         }
     )
-    return rows.drop("__raw", "__kept", "__v", "__own")
+    return rows.drop("__raw", "__v", "__own")
 
 
 # --- the record ---------------------------------------------------------------------------------------------------------------------------
