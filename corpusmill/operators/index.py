@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.config import Index, Related
+from corpusmill.session import stored
 
 
 def document_roots(counts: DataFrame, idf: DataFrame, cfg: Index = Index(), key: str = "document_slug") -> DataFrame:
@@ -27,8 +28,8 @@ def entry_vectors(entries: DataFrame, weights: DataFrame) -> DataFrame:
     """document_slug, term, w of unit length: the mean of the weights of an entry's chunks."""
     rows = entries.select("document_slug", F.explode("children").alias("chunk_id")).join(weights, "chunk_id")
     summed = rows.groupBy("document_slug", "term").agg(F.sum("w").alias("s"))
-    length = summed.groupBy("document_slug").agg(F.sqrt(F.sum(F.col("s") * F.col("s"))).alias("length"))
-    return summed.join(length, "document_slug").select("document_slug", "term", (F.col("s") / F.col("length")).alias("w"))
+    length = F.sqrt(F.sum(F.col("s") * F.col("s")).over(Window.partitionBy("document_slug")))
+    return summed.select("document_slug", "term", (F.col("s") / length).alias("w"))
 
 
 def entry_siblings(vectors: DataFrame, threshold: float = 0.30) -> DataFrame:
@@ -37,6 +38,7 @@ def entry_siblings(vectors: DataFrame, threshold: float = 0.30) -> DataFrame:
     Only rare terms look for partners: in the order from rare to frequent terms, an entry's terms count until the weights of the rest
     are shorter than the threshold. Two entries without a common term there cannot reach it, so no pair is lost, and the terms that
     nearly all entries share, whose pairs are most of all pairs, never meet. Candidates are then multiplied out in full."""
+    vectors = stored(vectors)
     spread = vectors.groupBy("term").agg(F.count("*").alias("df"))
     ordered = Window.partitionBy("document_slug").orderBy(F.desc("df"), F.desc("term")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rest = vectors.join(spread, "term").withColumn("rest", F.sum(F.col("w") * F.col("w")).over(ordered))
@@ -69,29 +71,34 @@ def index_refs(chunks: DataFrame, lines: DataFrame) -> DataFrame:
     return found.select("chunk_id", F.when(F.col("line").isNotNull(), F.struct(F.col("document_slug").alias("entry"), "line")).alias("index_ref"))
 
 
+def _first_few(offers: DataFrame, key: str, order: list[Column | str], most: int) -> DataFrame:
+    """Of each key's offers (other, related_id, ...) the first ``most`` of each of the first ``most`` + 1 documents: enough for the first
+    ``most`` whichever document is left out. Ranks are limited on the way to the shuffle, so a frequent key costs a few rows for each task."""
+    rows = offers.withColumn("nth", F.row_number().over(Window.partitionBy(key, "other").orderBy(*order))).where(F.col("nth") <= most)
+    lead = rows.where("nth = 1").withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("place") <= most + 1)
+    return rows.join(lead.select(key, "other"), [key, "other"]).drop("nth")
+
+
 def related_chunks(chunks: DataFrame, cfg: Related = Related(), topics: Column | None = None) -> DataFrame:
     """chunk_id, rank, related_id, overlap: a chunk's best partners in other documents by Jaccard overlap of topics, ties by id.
 
-    Chunks with equal topics are one class. Classes that share a topic are compared; then each class needs only the first chunks of its
-    partners: of a partner's documents the first max + 1, and of each the first ``max`` chunks, enough whichever document is left out."""
+    Chunks with equal topics are one class. No pairs of classes are made: every subset of a class's topics (63 at most, as six topics are
+    the most) keeps the few partners that hold it and have the fewest topics, then the least ids. Of two partners that share just this subset
+    with a class the one with fewer topics overlaps more, so the best partner of a class is on the list of the subset that they share."""
     names = F.array_sort(F.array_distinct(F.transform("topics", lambda t: t["topic"]))) if topics is None else F.array_sort(F.array_distinct(topics))
-    rows = chunks.select("chunk_id", "document_slug", names.alias("names")).where(F.size("names") > 0)
-    classes = rows.select("names").distinct()
-    each = classes.select("names", F.explode("names").alias("topic"))
-    pairs = each.withColumnRenamed("names", "a").join(each.withColumnRenamed("names", "b"), "topic").groupBy("a", "b").agg(F.count("*").alias("common"))
-    overlap = F.col("common") / (F.size("a") + F.size("b") - F.col("common"))
-    pairs = pairs.select("a", "b", overlap.alias("overlap")).where(F.col("overlap") >= cfg.min_overlap)
-
-    in_doc = Window.partitionBy("names", "document_slug").orderBy("chunk_id")
-    of_class = Window.partitionBy("names").orderBy("first", "document_slug")
-    heads = rows.withColumn("nth", F.row_number().over(in_doc)).where(F.col("nth") <= cfg.max)
-    docs = heads.where("nth = 1").select("names", "document_slug", F.col("chunk_id").alias("first"))
-    docs = docs.withColumn("place", F.row_number().over(of_class)).where(F.col("place") <= cfg.max + 1)
-    heads = heads.join(docs.select("names", "document_slug"), ["names", "document_slug"]).select(F.col("names").alias("b"), F.col("document_slug").alias("other"), F.col("chunk_id").alias("related_id"))
-    best = Window.partitionBy("a", "other").orderBy(F.desc("overlap"), "related_id")
-    offers = pairs.join(heads, "b").withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= cfg.max)
-    lead = offers.where("nth = 1").withColumn("place", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("overlap"), "related_id"))).where(F.col("place") <= cfg.max + 1)
-    offers = offers.join(lead.select("a", "other"), ["a", "other"]).select(F.col("a").alias("names"), "other", "related_id", "overlap")
-    found = rows.join(offers, "names").where("other <> document_slug")
+    rows = stored(chunks.select("chunk_id", "document_slug", names.alias("names"))).where(F.size("names") > 0)
+    most = cfg.related_max
+    masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.size("names")).cast("int") - 1)
+    subsets = F.transform(masks, lambda m: F.array_join(F.filter("names", lambda _, i: F.getbit(m, i) == 1), "\0"))
+
+    offers = rows.select("names", F.col("document_slug").alias("other"), F.col("chunk_id").alias("related_id"))
+    heads = _first_few(offers, "names", ["related_id"], most)
+    listed = heads.select(F.explode_outer(subsets).alias("subset"), "other", "related_id", F.col("names").alias("b"), F.size("names").alias("n"))
+    listed = _first_few(listed, "subset", ["n", "related_id"], most)
+    asked = rows.select("names").distinct().select("names", F.explode_outer(subsets).alias("subset"))
+    found = asked.join(listed, "subset").select("names", "other", "related_id", "b").distinct()
+    found = found.withColumn("overlap", F.size(F.array_intersect("names", "b")) / F.size(F.array_union("names", "b"))).where(F.col("overlap") >= cfg.related_min_overlap)
+    best = _first_few(found.drop("b"), "names", [F.desc("overlap"), "related_id"], most)
     order = Window.partitionBy("chunk_id").orderBy(F.desc("overlap"), "related_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= cfg.max).select("chunk_id", "rank", "related_id", "overlap")
+    pairs = rows.join(best, "names").where("other <> document_slug")
+    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most).select("chunk_id", "rank", "related_id", "overlap")

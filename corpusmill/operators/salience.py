@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import content_terms
 
 
 def term_counts(chunks: DataFrame, key: str = "chunk_id", body: str = "body") -> DataFrame:
-    """key, term, n. Counted within each row first, so that only distinct terms are shuffled."""
-    return chunks.select(key, F.explode(content_terms(F.col(body))).alias("term")).groupBy(key, "term").agg(F.count("*").alias("n"))
+    """key, term, n. Counted within each task before the shuffle, so a term goes there once for each key of the task."""
+    terms = chunks.select(key, F.explode_outer(content_terms(F.col(body))).alias("term")).where("term IS NOT NULL")
+    return terms.groupBy(key, "term").agg(F.count("*").alias("n"))
 
 
 def document_frequency(counts: DataFrame) -> DataFrame:
@@ -27,8 +28,8 @@ def inverse_frequency(counts: DataFrame, chunks: DataFrame) -> DataFrame:
 def tfidf(counts: DataFrame, idf: DataFrame, key: str = "chunk_id") -> DataFrame:
     """key, term, w: weights of unit length for each key."""
     raw = counts.join(idf.select("term", "idf"), "term").select(key, "term", (F.col("n") * F.col("idf")).alias("raw"))
-    length = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"))
-    return raw.join(length, key).select(key, "term", (F.col("raw") / F.col("length")).alias("w"))
+    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
+    return raw.select(key, "term", (F.col("raw") / length).alias("w"))
 
 
 def centroid(weights: DataFrame, chunks: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.config import Config
 from corpusmill.operators import annotate, index, salience, segment
+from corpusmill.session import stored
 
 
 def now() -> str:
@@ -17,8 +18,10 @@ def now() -> str:
 
 
 def first_chunks(chunks: DataFrame, limit: int | None) -> DataFrame:
-    """The first chunks of the corpus, by source file and place; all of them for none or 0. Links are those of the whole corpus."""
-    return chunks.orderBy("source_file", "document_slug", "idx").limit(limit) if limit else chunks
+    """The first chunks of the corpus, by the folders and names of their paths (by source file where there are no paths) and place; all of
+    them for none or 0. Links are those of the whole corpus."""
+    first = F.split("path", "/") if "path" in chunks.columns else F.col("source_file")
+    return chunks.orderBy(first, "document_slug", "idx").limit(limit) if limit else chunks
 
 
 def compile_corpus(documents: DataFrame, cfg: Config = Config(), *, created_at: str | None = None, answers: DataFrame | None = None, limit: int | None = None, chunks: DataFrame | None = None) -> DataFrame:
@@ -60,16 +63,16 @@ def full_corpus(documents: DataFrame, cfg: Config = Config(), *, created_at: str
     """As compile_corpus, with corpus statistics, related chunks and the index. Chunks are read several times; ``chunks`` are
     those of the documents where they have been written before, which is best for all but small corpora."""
     chunks = first_chunks(segment.chunk_documents(documents, cfg.chunking), limit) if chunks is None else chunks
-    counts = salience.term_counts(chunks)
+    counts = stored(salience.term_counts(chunks))
     idf = salience.inverse_frequency(counts, chunks)
-    weights = salience.tfidf(counts, idf)
+    weights = stored(salience.tfidf(counts, idf))
     distinct = salience.lexical_distinctiveness(chunks, weights, salience.centroid(weights, chunks))
     dense = salience.information_density(chunks)
     classified = _classified(chunks, answers, cfg)
-    related = index.related_chunks(classified, cfg.related)
+    related = index.related_chunks(classified, cfg.salience)
     related = related.groupBy("chunk_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "related_id"))), lambda r: r["related_id"]).alias("related_chunks"))
     by_doc = counts.join(chunks.select("chunk_id", "document_slug"), "chunk_id")
-    entries = index.index_entries(index.document_roots(by_doc, idf, cfg.index), chunks, cfg.index)
+    entries = stored(index.index_entries(index.document_roots(by_doc, idf, cfg.index), chunks, cfg.index))
     refs = index.index_refs(chunks, index.index_lines(entries))
     siblings = index.entry_siblings(index.entry_vectors(entries, weights), cfg.index.sibling_threshold)
     rows = classified

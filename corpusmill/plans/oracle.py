@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from corpusmill.functions.text import STOPWORDS
 
-WORD = "[A-Za-z][A-Za-z0-9''+\\-]*"
+WORD = "[A-Za-z][A-Za-z0-9''+-]*"
 STOP = ", ".join(f"'{w}'" for w in STOPWORDS)
 
 
@@ -42,6 +42,7 @@ def sentences(x: str) -> str:
     return f"string_split({MARKED.format(x=x)}, chr(1))"
 
 
+FIRST = "replace(split_part(text, '.', 1), 'ß', '')"  # unlike the accents, it has no ASCII letter
 DOCS = "docs AS (SELECT 'doc-' || doc_id AS slug, text FROM documents)"
 CONVERSATIONS = r"""docs AS (
   SELECT 'conversation-' || conv_id AS slug, '# Conversation ' || conv_id || chr(10) || chr(10) || string_agg('## ' || role || ' ' || turn || chr(10) || chr(10)
@@ -137,7 +138,7 @@ ORACLE: dict[str, str] = {
     "tokenize_counts": f"SELECT doc_id, len({words('text')}) AS n_words, len(list_distinct({words('text')})) AS n_distinct FROM documents",
     "content_term_counts": f"SELECT doc_id, len({terms('text')}) AS n_terms, array_to_string({terms('text')}[1:5], ' ') AS first_terms FROM documents",
     "estimate_tokens": f"SELECT doc_id, {tokens('text')} AS tokens FROM documents",
-    "slugify_titles": f"SELECT doc_id, {slug(chr(39).join(['left(split_part(replace(text, ', 'ß', ', ', 'ss', '), ', '.', ', 1), 60)']))} AS slug FROM documents",
+    "slugify_titles": f"SELECT doc_id, {slug(FIRST)} AS slug FROM documents",
     "title_case_sources": "SELECT DISTINCT source || ' ' || lang AS name, 'Src' || substr(source, 4) || ' ' || upper(lang[1]) || lang[2:] AS title FROM documents",
     "first_sentence_summary": f"SELECT doc_id, CASE WHEN {summary('text')} <> '' THEN {summary('text')} ELSE 'untitled' END AS summary FROM documents",
     "whitespace_word_counts": "SELECT conv_id, turn, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) AS n_words FROM conversations",
@@ -177,7 +178,7 @@ ORACLE: dict[str, str] = {
       SELECT x.document_slug AS a, y.document_slug AS b, round_even(sum(x.w * y.w), 3) AS score FROM unit x JOIN unit y ON x.term = y.term AND x.document_slug <> y.document_slug
       GROUP BY ALL HAVING sum(x.w * y.w) >= 0.3""",
     "index_lines": "SELECT document_slug, 7 + 6 * (row_number() OVER (ORDER BY document_slug) - 1) AS line FROM (SELECT DISTINCT source AS document_slug FROM documents)",
-    "index_refs": "WITH l AS (SELECT s, 7 + 6 * (row_number() OVER (ORDER BY s) - 1) AS line FROM (SELECT DISTINCT source AS s FROM documents WHERE source < 'src5')) SELECT 'doc-' || doc_id AS chunk_id, s AS entry, line FROM documents LEFT JOIN l ON s = source",
+    "index_refs": f"WITH {ROOTS}, l AS (SELECT document_slug AS s, 7 + 6 * (row_number() OVER (ORDER BY document_slug) - 1) AS line FROM entries) SELECT 'doc-' || doc_id AS chunk_id, s AS entry, line FROM documents LEFT JOIN l ON s = source",
     "fallback_topics": f"WITH {TOPICS} SELECT chunk_id, place, topic, depth::BIGINT AS depth FROM topics",
     "topic_path": f"WITH {JOINED} SELECT chunk_id, topic_path, specificity FROM paths",
     "related_chunks": f"""WITH {TOPICS}, t AS (SELECT chunk_id, document_slug, topic FROM topics JOIN units USING (chunk_id)), sizes AS (SELECT chunk_id, count(*) AS k FROM t GROUP BY chunk_id),
@@ -215,10 +216,12 @@ ORACLE: dict[str, str] = {
     "flatten_metadata": f"""WITH {ALTERED} SELECT chunk_id, document_slug, chunk_type, topic_path, '[' || js || ']' AS topics, CASE WHEN quality = 1 THEN '{{"' || document_slug || '":" origin "}}' ELSE '{{}}' END AS aliases,
       '[{{"domain":"general","weight":0.5}}]' AS goal_affinity, idx AS nav_current, '' AS nav_next, specificity, true AS standalone, 'canonical' AS authority, confidence::DOUBLE AS confidence, status,
       'evergreen' AS decay_class, '2026-01-01T00:00:00Z' AS created_at, tokens FROM altered""",
-    "upsert_chunks": "SELECT 'doc-' || doc_id AS chunk_id, source, CASE WHEN source < 'src5' THEN -doc_id ELSE doc_id END AS version FROM documents",
+    "upsert_chunks": """SELECT 'doc-' || doc_id AS chunk_id, source, doc_id AS version FROM documents WHERE doc_id NOT IN (SELECT 2 * page_id FROM pages)
+      UNION ALL SELECT 'doc-' || 2 * page_id, 'page', page_id FROM pages""",
     "page_paths_kept": "SELECT page_id, '/x/pages/' || page_id || '.html' AS path FROM pages WHERE page_id % 5 <> 0",
-    "vector_topk": """WITH q AS (SELECT embedding AS v FROM embeddings WHERE vec_id = 0) SELECT vec_id, round_even(list_cosine_similarity(embedding::DOUBLE[], v::DOUBLE[]), 6) AS score
-      FROM embeddings, q WHERE label <= 5 ORDER BY list_cosine_similarity(embedding::DOUBLE[], v::DOUBLE[]) DESC, vec_id LIMIT 10""",
+    "vector_topk": """WITH q AS (SELECT vec_id AS query_id, embedding AS v FROM embeddings WHERE vec_id % 100 = 0),
+      scored AS (SELECT query_id, vec_id, list_cosine_similarity(embedding::DOUBLE[], v::DOUBLE[]) AS s FROM embeddings, q)
+      SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS rank, vec_id, round_even(s, 6) AS score FROM scored QUALIFY rank <= 10""",
     "lexical_topk": f"""WITH {WEIGHTS}, asked AS (SELECT t AS term, 1 AS n FROM (SELECT unnest(['worthless', 'erhe', 'tion', 'auxtion', 'keit']) AS t)),
       q AS (SELECT term, idf / sqrt(sum(idf * idf) OVER ()) AS q FROM asked JOIN idf USING (term))
       SELECT chunk_id, round_even(sum(w * q), 6) AS score FROM weights JOIN q USING (term) GROUP BY chunk_id ORDER BY round_even(sum(w * q), 9) DESC, chunk_id LIMIT 10""",

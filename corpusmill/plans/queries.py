@@ -11,6 +11,7 @@ from corpusmill.config import Config
 from corpusmill.functions import text as T
 from corpusmill.operators import annotate, html, index, pack, salience, search, segment
 from corpusmill.plans import compile as plan
+from corpusmill.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,9 +29,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a table with fewer splits than there are cores dealt out evenly, as small files have one row group and would keep one core
+    busy; larger tables are left as they lie, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents table as documents: slug, source_file, title and text."""
-    rows = table(spark, sf_dir, "documents").select(F.concat(F.lit("doc-"), "doc_id").alias("slug"), "text")
+    rows = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(F.concat(F.lit("doc-"), "doc_id").alias("slug"), "text")
     return segment.with_title(rows.withColumn("source_file", F.concat("slug", F.lit(".md")))).select("slug", "source_file", "title", "text")
 
 
@@ -45,7 +53,7 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as chunks of their source."""
-    rows = table(spark, sf_dir, "documents")
+    rows = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return rows.select(F.concat(F.lit("doc-"), "doc_id").alias("chunk_id"), F.col("source").alias("document_slug"), F.col("doc_id").alias("idx"), F.col("text").alias("body"), F.lit("").alias("heading"), F.concat(F.lit("Document "), "doc_id").alias("document_title")).withColumn("tokens", T.estimate_tokens(F.col("body")))
 
 
@@ -55,25 +63,25 @@ def units(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def tokenize_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = T.tokenize(F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(words).cast(LONG).alias("n_words"), F.size(F.array_distinct(words)).cast(LONG).alias("n_distinct"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.size(words).cast(LONG).alias("n_words"), F.size(F.array_distinct(words)).cast(LONG).alias("n_distinct"))
 
 
 @query
 def content_term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     terms = T.content_terms(F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(terms).cast(LONG).alias("n_terms"), F.array_join(F.slice(terms, 1, 5), " ").alias("first_terms"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.size(terms).cast(LONG).alias("n_terms"), F.array_join(F.slice(terms, 1, 5), " ").alias("first_terms"))
 
 
 @query
 def estimate_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", T.estimate_tokens(F.col("text")).cast(LONG).alias("tokens"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", T.estimate_tokens(F.col("text")).cast(LONG).alias("tokens"))
 
 
 @query
 def slugify_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Slugs of first sentences; the oracle covers accents, which all of these tables' characters beyond ASCII but ß are."""
-    first = F.substring(F.split_part(F.replace("text", F.lit("ß"), F.lit("ss")), F.lit("."), F.lit(1)), 1, 60)
-    return table(spark, sf_dir, "documents").select("doc_id", T.slugify(first).alias("slug"))
+    """Slugs of what stands before the first full stop, whole."""
+    first = F.split_part("text", F.lit("."), F.lit(1))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", T.slugify(first).alias("slug"))
 
 
 @query
@@ -84,7 +92,7 @@ def title_case_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def first_sentence_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", annotate.fallback_summary(F.col("text"), F.lit(""), F.lit("untitled")).alias("summary"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", annotate.fallback_summary(F.col("text"), F.lit(""), F.lit("untitled")).alias("summary"))
 
 
 @query
@@ -103,30 +111,30 @@ def extract_title(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def section_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = segment.with_sections(conversations(spark, sf_dir))
-    return rows.select("slug", F.posexplode("sections").alias("section", "s")).select("slug", F.col("section").cast(LONG).alias("section"), "s.heading", "s.body")
+    return rows.select("slug", F.posexplode_outer("sections").alias("section", "s")).where("section IS NOT NULL").select("slug", F.col("section").cast(LONG).alias("section"), "s.heading", "s.body")
 
 
 @query
 def paragraph_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = segment.with_sections(conversations(spark, sf_dir)).select("slug", F.posexplode("sections").alias("section", "s"))
-    rows = rows.select("slug", "section", F.posexplode(segment.paragraphs(F.col("s.body"))).alias("paragraph", "text"))
+    rows = segment.with_sections(conversations(spark, sf_dir)).select("slug", F.posexplode_outer("sections").alias("section", "s")).where("section IS NOT NULL")
+    rows = rows.select("slug", "section", F.posexplode_outer(segment.paragraphs(F.col("s.body"))).alias("paragraph", "text")).where("paragraph IS NOT NULL")
     return rows.select("slug", F.col("section").cast(LONG).alias("section"), F.col("paragraph").cast(LONG).alias("paragraph"), "text")
 
 
 @query
 def sentence_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(F.split(T.strip(F.col("text")), T.SENTENCE_END)).cast(LONG).alias("n_sentences"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.size(F.split(T.strip(F.col("text")), T.SENTENCE_END)).cast(LONG).alias("n_sentences"))
 
 
 @query
 def oversized_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(segment.split_oversized(T.strip(F.col("text")), CFG.chunking.max_tokens)).alias("piece", "text"))
+    rows = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.posexplode_outer(segment.split_oversized(T.strip(F.col("text")), CFG.chunking.max_tokens)).alias("piece", "text")).where("piece IS NOT NULL")
     return rows.select("doc_id", F.col("piece").cast(LONG).alias("piece"), T.estimate_tokens(F.col("text")).cast(LONG).alias("tokens"), F.md5("text").alias("text_md5"))
 
 
 @query
 def greedy_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = segment.with_packed(conversations(spark, sf_dir)).select("slug", F.posexplode("packed").alias("chunk", "c"))
+    rows = segment.with_packed(conversations(spark, sf_dir)).select("slug", F.posexplode_outer("packed").alias("chunk", "c")).where("chunk IS NOT NULL")
     return rows.select("slug", F.col("chunk").cast(LONG).alias("chunk"), "c.heading", "c.body")
 
 
@@ -171,11 +179,11 @@ def document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def inverse_document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = units(spark, sf_dir)
-    return salience.inverse_frequency(salience.term_counts(rows), rows).select("term", "df", F.bround("idf", 6).alias("idf"))
+    return salience.inverse_frequency(stored(salience.term_counts(rows)), rows).select("term", "df", F.bround("idf", 6).alias("idf"))
 
 
-def _weights(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    counts = salience.term_counts(rows)
+def _weights(rows: DataFrame, counts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    counts = stored(salience.term_counts(rows)) if counts is None else counts
     idf = salience.inverse_frequency(counts, rows)
     return salience.tfidf(counts, idf), idf
 
@@ -194,7 +202,7 @@ def centroid_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def lexical_distinctiveness(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = units(spark, sf_dir)
-    weights, _ = _weights(rows)
+    weights = stored(_weights(rows)[0])
     return salience.lexical_distinctiveness(rows, weights, salience.centroid(weights, rows))
 
 
@@ -206,8 +214,8 @@ def corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- index ----------------------------------------------------------------------------------------------------------------------------------
 
 
-def _roots(rows: DataFrame) -> DataFrame:
-    counts = salience.term_counts(rows)
+def _roots(rows: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    counts = stored(salience.term_counts(rows)) if counts is None else counts
     idf = salience.inverse_frequency(counts, rows)
     return index.document_roots(counts.join(rows.select("chunk_id", "document_slug"), "chunk_id"), idf, CFG.index)
 
@@ -227,8 +235,9 @@ def index_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def entry_siblings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = units(spark, sf_dir)
-    entries = index.index_entries(_roots(rows), rows, CFG.index)
-    return index.entry_siblings(index.entry_vectors(entries, _weights(rows)[0]), CFG.index.sibling_threshold)
+    counts = stored(salience.term_counts(rows))
+    entries = index.index_entries(_roots(rows, counts), rows, CFG.index)
+    return index.entry_siblings(index.entry_vectors(entries, _weights(rows, counts)[0]), CFG.index.sibling_threshold)
 
 
 @query
@@ -239,7 +248,7 @@ def index_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def index_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = units(spark, sf_dir)
-    lines = index.index_lines(rows.where(F.col("document_slug") < "src5").select("document_slug"))
+    lines = index.index_lines(index.index_entries(_roots(rows), rows, CFG.index))
     return index.index_refs(rows, lines).select("chunk_id", F.col("index_ref.entry").alias("entry"), F.col("index_ref.line").cast(LONG).alias("line"))
 
 
@@ -248,7 +257,7 @@ def index_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fallback_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = annotate.fallback_topics(units(spark, sf_dir)).select("chunk_id", F.posexplode("topics").alias("place", "t"))
+    rows = annotate.fallback_topics(units(spark, sf_dir)).select("chunk_id", F.posexplode_outer("topics").alias("place", "t")).where("place IS NOT NULL")
     return rows.select("chunk_id", F.col("place").cast(LONG).alias("place"), F.col("t.topic").alias("topic"), F.col("t.depth").cast(LONG).alias("depth"))
 
 
@@ -260,13 +269,13 @@ def topic_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def related_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = index.related_chunks(annotate.fallback_topics(units(spark, sf_dir)), CFG.related)
+    found = index.related_chunks(annotate.fallback_topics(units(spark, sf_dir)), CFG.salience)
     return found.select("chunk_id", F.col("rank").cast(LONG).alias("rank"), "related_id", F.bround("overlap", 6).alias("overlap"))
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers as a model might give them, made from events: in a fence, in prose, or broken."""
-    rows = table(spark, sf_dir, "events")
+    rows = spread(table(spark, sf_dir, "events").select("event_id", "event_type", "user_id"))
     e = F.col("event_id")
     depth = F.when(e % 3 == 0, F.concat(F.lit('"'), e % 9, F.lit('"'))).otherwise((e % 9).cast("string"))
     body = F.concat(
@@ -363,8 +372,8 @@ def flatten_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def upsert_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select(F.concat(F.lit("doc-"), "doc_id").alias("chunk_id"), "source", F.col("doc_id").alias("version"))
-    new = rows.where("source < 'src5'").withColumn("version", -F.col("version"))
-    return pack.upsert(rows.where("source >= 'src3'"), new)
+    pages_ = table(spark, sf_dir, "pages").select(F.concat(F.lit("doc-"), F.col("page_id") * 2).alias("chunk_id"), F.lit("page").alias("source"), F.col("page_id").alias("version"))
+    return pack.upsert(rows, pages_)
 
 
 # --- pages and search -----------------------------------------------------------------------------------------------------------------------
@@ -389,9 +398,10 @@ def page_paths_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every vector whose id is divisible by 100, itself included."""
     rows = table(spark, sf_dir, "embeddings")
-    asked = rows.where("vec_id = 0").select("embedding").first()[0]
-    return search.vector_top_k(rows, asked, 10, where=F.col("label") <= 5).select("vec_id", F.bround("score", 6).alias("score"))
+    found = search.vectors_top_k(rows, rows.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), 10)
+    return found.select("query_id", F.col("rank").cast(LONG).alias("rank"), "vec_id", F.bround("score", 6).alias("score"))
 
 
 @query

@@ -1,17 +1,39 @@
-"""Getting the package to the executors."""
+"""Getting the package to the executors, and keeping tables that several steps read."""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` for several readers: worked out once and written below spark.checkpoint.dir, where executors that are lost lose none of it;
+    where a session names no such folder it is cached instead."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        return df.persist()
+    path = f"{folder}/corpusmill-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_delete, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package to the executors once for each application, so that Python functions can be loaded there."""
     context = spark.sparkContext
