@@ -1,15 +1,20 @@
 """Classification, coercion, validation, packs, pages, files and the command line."""
 
+import http.server
+import io
 import json
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.__main__ import main
-from corpusmill.config import Config, Index
-from corpusmill.operators import annotate, html, index, pack, salience
-from corpusmill.plans.compile import compile_corpus, full_corpus
-from corpusmill.sources import files, sinks
+from corpusmill.config import Config, Index, Section
+from corpusmill.operators import annotate, html, index, pack, salience, search, segment
+from corpusmill.plans.compile import compile_corpus, first_chunks, full_corpus
+from corpusmill.reporting import Lines, Live
+from corpusmill.sources import files, model, sinks
+from corpusmill.sources.collection import Collection
 from corpusmill.streaming.ingest import compile_stream, document_stream
 
 TEXTS = {
@@ -90,6 +95,11 @@ def test_siblings_against_brute_force(spark):
         ("[1, 2]", {"fallback": True, "confidence": 0.3, "topics": [("head", 0), ("body", 1), ("text", 1)]}),
         ("", {"fallback": True, "chunk_type": "section", "summary": "Body text here."}),
         (None, {"fallback": True}),
+        ('{"aliases": {"zeta": "1", "yam": "2", "xi": "3", "Wu": "4", "alpha": "5", "xi ": "6"}}', {"aliases": [("zeta", "1"), ("yam", "2"), ("xi", "3"), ("wu", "4")], "fallback": False}),
+        ('{"aliases": {"b x": "1", "a": "2", "B-X": "3", "日本": "4"}}', {"aliases": [("b-x", "3"), ("a", "2"), ("日本", "4")]}),
+        ('{"utility": "procedural", "utility": "orienting", "confidence": NaN, "topics": [{"topic": "Élève", "depth": NaN}, {"topic": "y", "depth": Infinity}]}', {"utility": "orienting", "confidence": 0.0, "topics": [("eleve", 0), ("y", 0)], "fallback": False}),
+        ('{"confidence": Infinity, "goal_affinity": [{"domain": "Café Ü", "weight": -1}, {"domain": "日本"}]}', {"confidence": 1.0, "goal_affinity": [("cafe-u", 0.0), ("日本", 0.5)]}),
+        ('{"confidence": 1, "summary": "x"', {"fallback": True}),
         ('{"goal_affinity": [{"domain": "Fast Food", "weight": true}, {"domain": " "}, {"weight": 1}]}', {"goal_affinity": [("fast-food", 1.0)]}),
     ],
 )
@@ -158,6 +168,81 @@ def test_index_text(spark):
     assert [r["line"] for r in lines] == list(range(7, 55, 6))
 
 
+def test_first_chunks_by_path(spark):
+    rows = [("b", "b.md", "B", "text of b", "/r/a/b.md"), ("a", "a.md", "A", "text of a", "/r/z/a.md"), ("c", "c.md", "C", "text of c", "/r/a-b/c.md")]
+    df = spark.createDataFrame(rows, "slug string, source_file string, title string, text string, path string")
+    first = lambda n: [r["chunk_id"] for r in first_chunks(segment.chunk_documents(df), n).collect()]
+    assert first(2) == ["b_000", "c_000"] and len(first(0)) == 3
+
+
+def test_collection(spark, tmp_path):
+    held = Collection(spark, str(tmp_path / "c"))
+    rows = lambda *x: spark.createDataFrame(x, "chunk_id string, document string, kind string")
+    assert held.count() == 0 and held.versions() == [] and held.query("rye").collect() == []
+    assert held.upsert(rows(("a", "rye bread", "x"), ("b", "river boats", "y"), ("b", "river boats", "y"), (None, "lost", "z"))) == 2
+    assert held.upsert(rows(("b", "rye flour", "y"), ("c", "the lock", "y"))) == 2 and held.count() == 3
+    assert held.upsert(rows(("d", "", "y")).drop("kind")) == 1 and len(held.versions()) == 2
+    assert [r["chunk_id"] for r in held.query("Rye bread", 2).collect()] == ["a", "b"]
+    assert [r["chunk_id"] for r in held.query("rye bread", 2, where=F.col("kind") == "y").collect()][0] == "b"
+
+
+def test_vectors_against_brute_force(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.integers(-2, 3, 3)]) for i in range(60)] + [(100, None), (101, []), (102, [1.0, 2.0]), (103, [float("nan"), 1.0, 1.0]), (None, [1.0, 1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in rows if i is not None and v and len(v) == 3 and np.isfinite(v).all() and any(v)}
+    got = {}
+    for r in search.vectors_top_k(df.where("vec_id IS NOT NULL").repartition(3), df.where("vec_id % 10 = 0").withColumnRenamed("vec_id", "query_id"), 4, most_queries=4).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(round(r["score"], 9))
+    assert got == {q: sorted((round(float(unit[q] @ v), 9) for v in unit.values()), reverse=True)[:4] for q in unit if q % 10 == 0}
+    assert search.vectors_top_k(df, df.where("vec_id < 0").withColumnRenamed("vec_id", "query_id")).count() == 0
+
+
+class _Model(http.server.BaseHTTPRequestHandler):
+    calls: list[str] = []
+
+    def _say(self, value):
+        self.send_response(200)
+        self.end_headers()
+        self.wfile.write(json.dumps(value).encode())
+
+    def do_GET(self):
+        self._say({"data": []})
+
+    def do_POST(self):
+        asked = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+        said = asked["messages"][-1]["content"]
+        self.calls.append(said)
+        self._say({"choices": []} if "broken" in said else {"choices": [{"message": {"content": '{"chunk_type": "fact"}'}}]})
+
+    def log_message(self, *_):
+        pass
+
+
+def test_model_is_asked(spark):
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), _Model)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    cfg = Section("model", base_url=f"http://127.0.0.1:{server.server_port}/v1", retries=1)
+    rows = [("a", "Title", "Head", 0, 2, "body of a"), ("b", "Title", "", 1, 2, "broken")]
+    chunks = spark.createDataFrame(rows, "chunk_id string, document_title string, heading string, idx int, total int, body string")
+    assert model.healthcheck(cfg)[0]
+    assert {r["chunk_id"]: r["answer"] for r in model.ask(chunks, cfg).collect()} == {"a": '{"chunk_type": "fact"}', "b": None}
+    assert len(_Model.calls) == 3 and any("Head" in c and "1 of 2" in c and "body of a" in c for c in _Model.calls)
+    server.shutdown()
+    server.server_close()
+    assert not model.healthcheck(cfg)[0]
+
+
+def test_progress(spark):
+    out = io.StringIO()
+    for told in (Lines(out), Live(spark, out, every=0.01)):
+        with told.stage("count") as notes:
+            notes.append(f"{spark.range(10).count()} rows")
+    assert out.getvalue().count("[count] 10 rows (") == 2
+
+
 def test_upsert(spark):
     old = spark.createDataFrame([("a", 1), ("b", 1)], "chunk_id string, v int")
     new = spark.createDataFrame([("b", 2), ("c", 2)], "chunk_id string, v int")
@@ -166,18 +251,22 @@ def test_upsert(spark):
 
 def test_command_line(spark, tmp_path, capsys, monkeypatch):
     monkeypatch.chdir(tmp_path)
-    raw = tmp_path / "data" / "raw"
+    raw = tmp_path / "Data" / "raw"
     raw.mkdir(parents=True)
     for name, text in TEXTS.items():
         (raw / name).write_text(text)
     (raw / "skip.pdf").write_text("x")
-    assert main(["ingest", "--stub", "--full"]) == 0
-    assert files.read_backend_stub(str(tmp_path / "data" / "index.json"))
-    assert main(["query", "rye sourdough"]) == 0 and "bread_000" in capsys.readouterr().out
+    assert main(["query", "rye"]) == 1
+    assert main(["ingest", "--stub", "--full", "--plain"]) == 0 and "4 chunks upserted" in capsys.readouterr().out
+    assert main(["ingest", "--stub", "--full"]) == 0  # once more: nothing is there twice
+    assert Collection(spark, str(tmp_path / "Data" / "chroma" / "chunks")).count() == 4
+    assert files.read_backend_stub(str(tmp_path / "Data" / "index.json"))
+    assert main(["query", "rye sourdough", "-n", "1"]) == 0 and "bread_000" in capsys.readouterr().out
+    assert main(["query", "rye sourdough", "--words"]) == 0 and "bread_000" in capsys.readouterr().out
     assert main(["export", "--out", str(tmp_path / "out" / "my-pack.json"), "--archive"]) == 0
     done = json.loads((tmp_path / "out" / "my-pack.json").read_text())
     assert done["id"] == "my-pack" and done["source"]["stub"] and len(done["chunks"]) == 4 and done["description"].startswith("2 documents / 4 chunks")
-    assert not list(raw.iterdir()) and len(list((tmp_path / "data" / "archive").iterdir())) == 1
+    assert not list(raw.iterdir()) and len(list((tmp_path / "Data" / "archive").iterdir())) == 1
     assert main(["ingest", "--stub"]) == 0 and "no documents" in capsys.readouterr().out
 
 

@@ -86,6 +86,19 @@ def test_oversized_paragraphs_split_at_sentences(spark):
     assert long["tokens"] > 480  # one sentence stays whole
 
 
+def test_long_documents_take_time_in_proportion(spark):
+    import time
+
+    took = []
+    for n in (500, 4000):
+        text = "\n\n".join(" ".join(f"Word {i} here." for _ in range(20)) for i in range(n))
+        began = time.time()
+        rows = cut(spark, text)
+        took.append(time.time() - began)
+        assert "\n\n".join(r["body"] for r in rows) == text and all(r["tokens"] <= 480 for r in rows)
+    assert took[1] < 8 * 3 * max(took[0], 0.5)
+
+
 def test_headings_can_be_switched_off(spark):
     (row,) = cut(spark, "# A\nx\n# B\ny", Chunking(respect_headings=False))
     assert row["body"] == "# A\nx\n# B\ny"
@@ -94,10 +107,10 @@ def test_headings_can_be_switched_off(spark):
 def test_config(tmp_path):
     (tmp_path / "config").mkdir()
     file = tmp_path / "config" / "settings.toml"
-    file.write_text('[chunking]\ntarget_tokens = 100\n[paths]\nraw = "in"\n[other]\nx = 1\n')
+    file.write_text('[chunking]\ntarget_tokens = 100\n[paths]\nraw_dir = "in"\n[other]\nx = 1\n')
     cfg = load_config(file)
-    assert cfg.chunking.target_tokens == 100 and cfg.chunking.max_tokens == 480 and cfg.paths.raw == str(tmp_path / "in")
+    assert cfg.chunking.target_tokens == 100 and cfg.chunking.max_tokens == 480 and cfg.paths.raw_dir == str(tmp_path / "in")
     file.write_text("[chunking]\nunknown = 1\n")
     with pytest.raises(TypeError):
         load_config(file)
-    assert Config().related.max == 2
+    assert Config().salience.related_max == 2
