@@ -30,6 +30,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def check_names(keep: tuple[str, ...], made: tuple[str, ...]) -> None:
+    """Columns that are kept must not have the names of those that an operator makes: nothing could tell the two apart."""
+    if clash := sorted(set(map(str.lower, keep)) & set(made)):
+        raise ValueError(f"kept columns {', '.join(clash)} have the names of columns that are made; rename them first")
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: int, most: int = 2_000_000, rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the column number ``text`` holds about ``most`` bytes in each, one row at least."""
     for batch in batches:

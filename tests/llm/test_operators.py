@@ -69,25 +69,72 @@ def test_urls_with_trie_and_with_join(spark, limit):
 # --- 2 ----------------------------------------------------------------------------------------------------------------------------------
 
 
+def licences(model, rows):
+    """Rows that the model's plain form gives for id and text."""
+    return Counter((i, n, family, round(p, 6), round(a, 6), said) for i, t in rows for n, family, p, a, said in model.scan(t))
+
+
+def found_licences(df):
+    return Counter((r["doc_id"], r["paragraph"], r["family"], round(r["probability"], 6), round(r["alike"], 6), r["says"]) for r in license_scan.scan_licenses(df).collect())
+
+
 def test_licences(spark):
     texts = {
         1: "Some prose.\nReleased under the MIT License.\nMore prose, the license of the driver mit.", 2: "This work is licensed under the GNU General Public License, version 3.", 3: None, 4: "", 5: "Licensed under CC BY-NC 4.0.",
         6: "The license of the driver was renewed. " * 3000, 7: "RELEASED UNDER THE mit license", 8: "Licensed under the Apache License, Version 2.0.\nLicensed under CC BY-SA 4.0", 9: "Released under pressure, with the general public.",
+        10: "All rights reserved.", 11: "Prose.\n\nThis is not under the MIT License.", 12: "mit freundlichen Gr\u00fc\u00dfen\nEr kam mit ihr.",
     }
-    df = clashing(docs(spark, [*texts.items(), (None, texts[5]), (1, texts[1])]))
+    rows = [*texts.items(), (None, texts[5]), (1, texts[1])]
     model = license_scan.fit_licenses()
-    got = Counter((r["doc_id"], r["paragraph"], r["family"]) for r in license_scan.scan_licenses(df).collect())
-    assert got == Counter({(1, 1, "MIT"): 2, (2, 0, "GPL"): 1, (5, 0, "CC-BY-NC"): 1, (None, 0, "CC-BY-NC"): 1, (7, 0, "MIT"): 1, (8, 0, "Apache-2.0"): 1, (8, 1, "CC-BY-SA"): 1})
+    got = found_licences(clashing(docs(spark, rows)).drop("family"))
+    want = {(1, 1, "MIT"): 2, (2, 0, "GPL"): 1, (5, 0, "CC-BY-NC"): 1, (None, 0, "CC-BY-NC"): 1, (7, 0, "MIT"): 1, (8, 0, "Apache-2.0"): 1, (8, 1, "CC-BY-SA"): 1, (10, 0, "unknown"): 1}
+    assert Counter({x[:3]: n for x, n in got.items()}) == Counter(want)
+    assert got == licences(model, rows)
+    df = clashing(docs(spark, rows))
     assert license_scan.scan_licenses(df.limit(0)).count() == 0
-    for family, names in license_scan.NAMES.items():  # columns give what the model gives
-        for name in names[:1]:
-            assert model.predict(f"Licensed under the {name}")[0] == family
-    anchor = re.compile(r"(?i)(?<![a-z0-9])(?:" + "|".join(map(re.escape, model.anchors)) + r")(?![a-z0-9])")
+    with pytest.raises(ValueError, match="family"):
+        license_scan.scan_licenses(df, keep=("doc_id", "family"))
+
+
+@pytest.mark.parametrize(
+    ("family", "says"),
+    [("GPL", "GPL-3.0"), ("GPL", "GPL-2.0-only"), ("GPL", "GPL-3.0-or-later"), ("MIT", "MIT"), ("ISC", "ISC"), ("Apache-2.0", "Apache-2.0"), ("MPL-2.0", "MPL-2.0"), ("CC0", "CC0-1.0"), ("BSD", "BSD-3-Clause"), ("LGPL", "LGPL-2.1"), ("AGPL", "AGPL-3.0")],
+)
+def test_identifiers(family, says):
+    assert license_scan.fit_licenses().predict(f"SPDX-License-Identifier: {says}")[0] == family
+
+
+def test_names_and_denials():
+    model = license_scan.fit_licenses()
+    for family, names in license_scan.NAMES.items():
+        for name in names:
+            assert model.predict(f"Licensed under the {name}")[0] == family, name
+    for says, want in (("Licensed under GPLv3", "GPL"), ("LGPLv3", "LGPL"), ("This project is MIT licensed.", "MIT"), ("Copyright 2031 Somebody Inc. All rights reserved.", "unknown")):
+        assert model.predict(says)[0] == want, says
+    for says in ("This is not under the MIT License.", "Not licensed under the BSD License.", "It is no longer available under the ISC License.", "Public transport with a license", "of this and the", "mit"):
+        assert model.predict(says)[0] is None, says
+    texts = [t for t, _ in license_scan._training()]
+    assert len(texts) == len(set(texts)) and not {*texts} & {n for k in license_scan.NOTICES.values() for n in k}
+
+
+def test_anchors_lose_nothing():
+    model = license_scan.fit_licenses()
+    line, block = (re.compile(license_scan._holding(a)) for a in (model.anchors, license_scan.block_anchors(0.5)))
     rng = random.Random(2)
-    words = sorted({g for w in model.weights.values() for g in w})
-    for _ in range(2000):  # what lacks an anchor is never likely
-        line = " ".join(rng.sample(words, 6))
-        assert anchor.search(line) or model.predict(line)[0] == license_scan.UNKNOWN
+    words = sorted(model.weights)
+    for _ in range(4000):
+        said = " ".join(rng.sample(words, rng.randint(1, 8)))
+        assert line.search(said) or model.predict(said)[0] is None
+        assert block.search(said) or all(license_scan.alike(k, license_scan.grams(said)) < 0.5 for k in license_scan.FAMILIES)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_licences_of_the_tables(spark, sf):
+    df = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in df.collect()]
+    got = found_licences(df.repartition(4))
+    assert got == licences(license_scan.fit_licenses(), rows)
+    assert sum(n for x, n in got.items() if "licen" in x[-1].lower() or "reserved" in x[-1]) >= 0.98 * sum(got.values())
 
 
 def test_wrapped_licences(spark):
