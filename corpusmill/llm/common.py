@@ -25,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the folder that the cluster names in spark.checkpoint.dir, so that a lost executor loses none of it.
 
-    Only where that setting is absent, as in tests, a temporary folder of this machine takes its place."""
+    Only where that setting is absent in local mode, as in tests, a temporary folder takes its place; a cluster without it is an error."""
     _shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -89,7 +89,11 @@ def _shared_folder(spark: SparkSession) -> str:
     if found.isDefined():
         return found.get()
     named = spark.conf.get("spark.checkpoint.dir", None)
-    spark.sparkContext.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "corpusmill-checkpoints"))
+    if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = os.path.join(tempfile.gettempdir(), "corpusmill-checkpoints")  # one machine, as in tests
+    spark.sparkContext.setCheckpointDir(named)
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
 

@@ -3,22 +3,28 @@
 An entry is a host and a path, written ``host/path``. It fits its host and every subdomain of it when the URL's path starts with the
 entry's path. More host labels win, then the longer path; an entry in both lists blocks. URLs that no entry fits get ``default``.
 
-The trie is broadcast while the entries hold at most ``max_broadcast_bytes``; larger lists are joined on host suffix and path folder.
+Tries of at most ``max_broadcast_bytes`` are broadcast; a longer list becomes several, which judge every URL one after the other, each
+keeping the longer of its own entry and the one found so far. So the verdict does not depend on the size of the list, and a URL is never shuffled.
 
 Rows: a null URL, or one without ``://``, has an empty host and path and no entry fits it. Repeated rows and null ids stay as they are,
-an empty table gives an empty result, and other columns of the input are not read.
+an empty table gives an empty result, and other columns of the input are not read. Kept columns named host, path, rule or verdict are an
+error that names them.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import check_names
+
 PARTS = re.compile(r"://([^/?#]*)([^?#]*)", re.S)
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -37,10 +43,11 @@ def entry(rule: str) -> tuple[str, str]:
 
 @dataclass
 class PathNode:
-    """Entries below one run of whole segments; ``tails`` are entries whose last segment is begun only."""
+    """Entries below one run of whole segments; ``tails`` are entries whose last segment is begun only, ``sizes`` their lengths, falling."""
 
     below: dict[str, "PathNode"] = field(default_factory=dict)
     tails: dict[str, tuple[str, str]] = field(default_factory=dict)
+    sizes: list[int] = field(default_factory=list)
 
 
 @dataclass
@@ -49,12 +56,16 @@ class HostNode:
     paths: PathNode | None = None
 
 
+#: an entry that fits: labels of its host, length of its path, the entry, its verdict
+Fit = tuple[int, int, str, str]
+
+
 class UrlTrie:
-    def __init__(self, allow: Iterable[str], block: Iterable[str]):
+    def __init__(self, entries: Iterable[tuple[str, str]]):
+        """``entries``: rule and verdict; the later of two that are equal stays."""
         self.root = HostNode()
-        for verdict, rules in (("allow", allow), ("block", block)):  # the later of two equal entries stays
-            for rule in rules:
-                self.add(rule, verdict)
+        for rule, verdict in entries:
+            self.add(rule, verdict)
 
     def add(self, rule: str, verdict: str) -> None:
         host, path = entry(rule)
@@ -67,75 +78,89 @@ class UrlTrie:
         for segment in whole:
             at = at.below.setdefault(segment, PathNode())
         at.tails[tail] = (rule, verdict)
+        if len(tail) not in at.sizes:
+            at.sizes = sorted([*at.sizes, len(tail)], reverse=True)
 
-    def match(self, host: str, path: str) -> tuple[str, str] | None:
-        """The longest entry that fits, with its verdict."""
+    def match(self, host: str, path: str) -> Fit | None:
+        """The longest entry that fits."""
         best, node = None, self.root
         segments = path.split("/")
-        for label in reversed(host.split(".")):
+        for depth, label in enumerate(reversed(host.split(".")), 1):
             node = node.below.get(label)
             if node is None:
                 break
-            if node.paths is not None:
-                best = self._longest(node.paths, segments) or best
+            if node.paths is not None and (found := self._longest(node.paths, segments)):
+                best = (depth, *found)
         return best
 
     @staticmethod
-    def _longest(at: PathNode, segments: list[str]) -> tuple[str, str] | None:
-        best = None
+    def _longest(at: PathNode, segments: list[str]) -> tuple[int, str, str] | None:
+        """Of each length of tails at a node one is looked up, so long lists below one host cost no more than short ones."""
+        best, before = None, 0
         for k, segment in enumerate(segments):
-            if at.tails:
-                rest = segment if k + 1 == len(segments) else "/".join(segments[k:])
-                fits = [t for t in at.tails if rest.startswith(t)]
-                if fits:
-                    best = at.tails[max(fits, key=len)]
+            for size in at.sizes:
+                if size <= len(segment) and (found := at.tails.get(segment[:size])):
+                    best = (before + size, *found)
+                    break
             if k + 1 == len(segments) or (below := at.below.get(segment)) is None:
                 break
-            at = below
+            at, before = below, before + len(segment) + 1
         return best
 
 
-SCHEMA = "host string, path string, rule string, verdict string"
+MADE = ("host", "path", "rule", "verdict")
+
+
+def entry_runs(allow: Iterable[str], block: Iterable[str], most_bytes: int) -> Iterator[list[tuple[str, str]]]:
+    """The entries with their verdicts, allow before block, in runs whose tries take about ``most_bytes`` at most."""
+    run, held = [], 0
+    for rule, verdict in chain(((r, "allow") for r in allow), ((r, "block") for r in block)):
+        size = 600 + 2 * len(rule) + 300 * rule.count("/")
+        if run and held + size > most_bytes:
+            yield run
+            run, held = [], 0
+        run.append((rule, verdict))
+        held += size
+    yield run
 
 
 def filter_urls(df: DataFrame, allow: Iterable[str], block: Iterable[str], *, url: str = "url", keep: tuple[str, ...] = (), default: str = "allow", max_broadcast_bytes: int = 64_000_000) -> DataFrame:
     """``keep`` columns of ``df`` with host, path, rule (null where none fits) and verdict."""
-    allow, block = list(allow), list(block)
-    if sum(len(x) + 200 for x in [*allow, *block]) > max_broadcast_bytes:
-        return _joined(df, allow, block, url, keep, default)
-    trie = df.sparkSession.sparkContext.broadcast(UrlTrie(allow, block))
-    rows = df.select(*[F.col(k) for k in keep], F.col(url).cast("string").alias("__url"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-
-    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    check_names(keep, MADE)
+    own = [f"__keep{i}" for i in range(len(keep))]
+    rows = df.select(*[F.col(k).alias(o) for k, o in zip(keep, own, strict=True)], F.col(url).cast("string").alias("__url"))
+    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
+    rows = rows.withColumn("__best", F.lit(None).cast(BEST))
+    for run in entry_runs(allow, block, max_broadcast_bytes):
+        rows = rows.mapInArrow(_judge(df.sparkSession.sparkContext.broadcast(UrlTrie(run))), f"{kept}`__url` string, `__best` {BEST}")
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            split = [parts(u) for u in batch.column(batch.num_columns - 1).to_pylist()]
-            found = [trie.value.match(*x) if x[0] else None for x in split]
-            columns = [[h for h, _ in split], [p for _, p in split], [m and m[0] for m in found], [m[1] if m else default for m in found]]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(c, pa.string()) for c in columns)], [*batch.schema.names[:-1], "host", "path", "rule", "verdict"])
-
-    return rows.mapInArrow(judged, f"{kept}, {SCHEMA}" if kept else SCHEMA)
-
-
-def _joined(df: DataFrame, allow: list[str], block: list[str], url: str, keep: tuple[str, ...], default: str) -> DataFrame:
-    """The same verdicts for lists too long to broadcast: every host suffix and path folder of a URL looks for its entries in a join."""
-    spark = df.sparkSession
-    listed = {**{r: "allow" for r in allow}, **{r: "block" for r in block}}
-    rules = [(*entry(r), r, v) for r, v in listed.items()]
-    rules = spark.createDataFrame([(h, p[: p.rfind("/") + 1], p, r, v) for h, p, r, v in rules], "r_host string, r_folder string, r_path string, rule string, verdict string")
-    u = F.col("__url")
-    has = F.coalesce(u.contains("://"), F.lit(False))
-    rest = F.substring_index(u, "://", 1)
-    rest = F.when(has, u.substr(F.length(rest) + 4, F.length(u))).otherwise("")
-    host = F.regexp_extract(rest, r"^([^/?#]*)", 1)
-    host = F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    rows = df.select(*keep, F.col(url).cast("string").alias("__url")).select(*keep, host.alias("host"), F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1).alias("path"))
-    urls = rows.select("host", "path").distinct().where("host <> ''")
-    labels, segments = F.split("host", r"\."), F.split("path", "/")
-    asked = urls.withColumn("r_host", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))))
-    folder = lambda i: F.when(i == 0, "").otherwise(F.concat(F.array_join(F.slice(segments, 1, F.greatest(i, F.lit(1))), "/"), F.lit("/")))
-    asked = asked.withColumn("r_folder", F.explode(F.transform(F.sequence(F.lit(0), F.size(segments) - 1), folder)))
-    fits = asked.join(rules, ["r_host", "r_folder"]).where(F.col("path").startswith(F.col("r_path")))
-    best = fits.groupBy("host", "path").agg(F.max(F.struct(F.length("r_host").alias("a"), F.length("r_path").alias("b"), "rule", "verdict")).alias("m"))
-    best = best.select("host", "path", "m.rule", "m.verdict")
-    return rows.join(best, ["host", "path"], "left").select(*keep, "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
+            found = [parts(u) for u in batch.column(len(own)).to_pylist()]
+            best = batch.column(len(own) + 1).to_pylist()
+            columns = [[h for h, _ in found], [p for _, p in found], [b and b["rule"] for b in best], [b["verdict"] if b else default for b in best]]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(own)], *(pa.array(c, pa.string()) for c in columns)], [*own, *MADE])
+
+    return rows.mapInArrow(split, kept + ", ".join(f"{m} string" for m in MADE)).toDF(*keep, *MADE)
+
+
+BEST = "struct<labels:int,chars:int,rule:string,verdict:string>"
+
+
+def _judge(trie: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Puts the trie's best entry for each URL in the place of the one known so far, unless that is longer."""
+    kind = pa.struct([("labels", pa.int32()), ("chars", pa.int32()), ("rule", pa.string()), ("verdict", pa.string())])
+
+    def better(host: str, path: str, known: dict | None) -> dict | None:
+        found = trie.value.match(host, path) if host else None
+        if found is None or (known and (known["labels"], known["chars"]) > found[:2]):
+            return known
+        return dict(zip(("labels", "chars", "rule", "verdict"), found, strict=True))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            urls, known = batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
+            best = [better(*parts(u), k) for u, k in zip(urls, known, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(best, kind)], batch.schema.names)
+
+    return run
