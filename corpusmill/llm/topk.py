@@ -7,7 +7,7 @@ k-th score; blocks on a bound equal to it are scored, as a tie may go to a small
 
 Scores are integers. Components are ``floor(scale * x)``; sums below 2**53 are made in float64, where they are exact, others in whole
 Python numbers (a score outside of 64 bits is set to the nearest 64-bit number). Queries go in runs of at most ``most_queries`` rows,
-collected and broadcast one at a time, so the broadcast has a fixed bound; every candidate row is read for each run.
+collected, broadcast, searched and written one at a time, so no more than one run is held anywhere; every candidate row is read for each.
 
 Rows: vectors that are null, empty or hold null or non-finite components, and rows with a null id, take no part. A row isn't a candidate
 for a query of the same id. Rows that repeat an id are candidates of their own; a repeated query id counts once, by its largest vector.
@@ -21,10 +21,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, stored
 
 RESULT = "query_id bigint, vec_id bigint, score bigint"
 LONG = 2**63
@@ -102,15 +103,33 @@ def top_k(df: DataFrame, is_query: Column, *, k: int = 10, scale: int = 1024, ve
         runs = [asked.where((F.lit(True) if a is None else F.col("vec_id") > a) & (F.lit(True) if b is None else F.col("vec_id") <= b)) for a, b in zip(edges, edges[1:], strict=False)]
     else:
         runs = [asked]
-    found = None
+    parts = []
     for run in runs:
-        part = _searched(rows, run.collect(), k, scale, block_rows, session)
-        found = part if found is None else found.unionByName(part)
+        part, queries = _searched(rows, run.collect(), k, scale, block_rows, session)
+        if len(runs) > 1:  # each run is searched and written before the next is collected
+            part = stored(part)
+            queries.destroy()
+        parts.append(part)
+    found = session.read.schema(RESULT).parquet(*[f for p in parts for f in p.inputFiles()]) if len(runs) > 1 and any(p.inputFiles() for p in parts) else parts[0]
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _searched(rows: DataFrame, asked: list, k: int, scale: int, block_rows: int, session) -> DataFrame:
+def gathered(batches: Iterator[pa.RecordBatch], most_bytes: int = 64_000_000) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they hold ``most_bytes``, so that blocks are ordered among as many as fit; best scores stay from one to the next."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most_bytes:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _searched(rows: DataFrame, asked: list, k: int, scale: int, block_rows: int, session) -> tuple[DataFrame, Broadcast]:
     by_size: dict[int, list] = {}
     for r in asked:
         by_size.setdefault(len(r["v"]), []).append(r)
@@ -118,7 +137,7 @@ def _searched(rows: DataFrame, asked: list, k: int, scale: int, block_rows: int,
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = {d: [Best(k) for _ in query_ids] for d, (query_ids, _) in queries.value.items()}
-        for batch in batches:
+        for batch in gathered(batches):
             ids, vectors = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
             sizes = pa.compute.list_value_length(vectors).to_numpy(zero_copy_only=False)
             for d, (query_ids, matrix) in queries.value.items():
@@ -132,4 +151,4 @@ def _searched(rows: DataFrame, asked: list, k: int, scale: int, block_rows: int,
                 if len(best.ids):
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(best.ids), query_id)), pa.array(best.ids), pa.array(best.scores)], ["query_id", "vec_id", "score"])
 
-    return rows.select("vec_id", "v").mapInArrow(search, RESULT)
+    return rows.select("vec_id", "v").mapInArrow(search, RESULT), queries
