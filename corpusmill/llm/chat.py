@@ -74,6 +74,27 @@ def parse(formatted: str) -> Iterator[tuple[str, str, int, int]]:
         at = closed.end()
 
 
+class Reader:
+    """Reads a conversation's formatted text as a whole, but given in parts: a turn comes out once what follows it can no longer change it."""
+
+    def __init__(self) -> None:
+        self.text, self.begun = "", False
+
+    def feed(self, part: str) -> Iterator[tuple[str, str]]:
+        self.text += part
+        while True:
+            at = len(BEGIN) if not self.begun and self.text.startswith(BEGIN) else 0
+            opened = BARE.match(self.text, at)
+            closed = BARE.search(self.text, opened.end()) if opened else None
+            if not closed or closed.end() + max(map(len, CONTROLS)) > len(self.text):
+                return
+            yield from (x[:2] for x in parse(self.text[: closed.end()]))
+            self.text, self.begun = self.text[closed.end() :], True
+
+    def close(self) -> Iterator[tuple[str, str]]:
+        yield from (x[:2] for x in parse(self.text))
+
+
 def turn(role: str | None, text: str | None) -> tuple[str, int, int]:
     """A turn that parses to just this role and text, and where its text begins and ends in it."""
     role, text = role or "", text or ""

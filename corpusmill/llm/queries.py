@@ -72,20 +72,24 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Read each conversation back from its formatted text and loss mask."""
-        last, out, turns, loss, counts = None, [], None, None, None
+        last, out, turns, loss, counts, reader = None, [], None, None, None, None
+
+        def take(read: Iterator[tuple[str, str]]) -> None:
+            for role, text in read:
+                turns.update(f"{role}\n{text}\n".encode())
+                counts[0] += 1
 
         def close() -> None:
             if counts is not None:
+                take(reader.close())
                 out.append((last, counts[0], turns.hexdigest(), counts[1], loss.hexdigest(), counts[2]))
 
         for batch in batches:
             for conv, position, said, begins, a, b in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3, 4, 5, 6)), strict=True):
                 if position == 0:
                     close()
-                    last, turns, loss, counts = conv, hashlib.sha256(), hashlib.sha256(), [0, 0, 0]
-                for role, text, _, _ in chat.parse(said):
-                    turns.update(f"{role}\n{text}\n".encode())
-                    counts[0] += 1
+                    last, turns, loss, counts, reader = conv, hashlib.sha256(), hashlib.sha256(), [0, 0, 0], chat.Reader()
+                take(reader.feed(said))
                 if a is not None:
                     masked = chat.unescape(said[a - begins : b - begins])
                     loss.update(masked.encode())
