@@ -1,6 +1,6 @@
 """Byte-level BPE: corpus-level merge replay, and decoding.
 
-Texts are split by a pattern. The distinct pieces of a block of texts that no earlier block of the task had are laid out as one array of
+Texts are split by a pattern, letters and numbers being those of the tokenizer library's Unicode tables. The distinct pieces of a block of texts that no earlier block of the task had are laid out as one array of
 tokens. An inverted index leads from the rank of a pair of neighbours to the positions where such a pair stands; a queue hands out the
 ranks in order. A merge joins the two tokens at each position of its rank, from left to right, and indexes only the pairs with the
 neighbours it touched. Where that makes a pair of a lower rank, the lower rank goes first and the rest of the positions wait. So within each
@@ -16,9 +16,10 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
-from functools import cached_property
+from dataclasses import dataclass, field
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -38,13 +39,15 @@ class Vocabulary:
 
     ranks: dict[bytes, int]
     pattern: str
+    #: code point -> one that stands for it when texts are split
+    stands_for: dict[int, str] = field(default_factory=dict)
 
     @classmethod
     def read(cls, path: str, pattern: str) -> "Vocabulary":
         """From a file on the driver; vocabularies have a fixed size and are broadcast."""
         with open(path, "rb") as lines:
             pairs = (line.split() for line in lines if line.strip())
-            return cls({base64.b64decode(token): int(rank) for token, rank in pairs}, pattern)
+            return cls({base64.b64decode(token): int(rank) for token, rank in pairs}, pattern, other_classes())
 
     @cached_property
     def codec(self) -> "Codec":
@@ -52,6 +55,22 @@ class Vocabulary:
         return Codec(self)
 
 
+@lru_cache
+def other_classes() -> dict[int, str]:
+    """Code points that are letters or numbers by this library's Unicode tables but not by the tokenizer library's, or the other way about, each
+    with one that has the tokenizer library's class in both."""
+    import tiktoken
+
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    bytes_ = {bytes([i]): i for i in range(256)}
+    sets = []
+    for kind in (r"\p{L}", r"\p{N}"):
+        there = set(bytes(tiktoken.Encoding("class", pat_str=kind, mergeable_ranks=bytes_, special_tokens={}).encode_ordinary(every)).decode())
+        sets.append((there, set(regex.findall(kind, every))))
+    (letters, ours), (numbers, our_numbers) = sets
+    return {ord(c): "\u00aa" if c in letters else "\u00b2" if c in numbers else "\u00a4" for c in (letters ^ ours) | (numbers ^ our_numbers)}
+
+
 SHIFT = 20  # ranks are below 2**SHIFT
 
 
@@ -60,7 +79,9 @@ class Codec:
         self.ranks = ranks = vocabulary.ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.above = max(ranks.values()) + 1
-        self.split = regex.compile(vocabulary.pattern).findall
+        self.findall, self.finditer = regex.compile(vocabulary.pattern).findall, regex.compile(vocabulary.pattern).finditer
+        self.stands_for = vocabulary.stands_for
+        self.odd = re.compile("[" + "".join(map(re.escape, map(chr, sorted(self.stands_for)))) + "]").search if self.stands_for else None
         self.forget()
         #: rank of what two tokens make together
         self.pairs: dict[int, int] = {}
@@ -71,6 +92,12 @@ class Codec:
         self.bytes = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
         self.byte_pairs = np.array([[self.pairs.get(int(a) << SHIFT | int(b), -1) for b in self.bytes] for a in self.bytes], np.int64)
 
+    def split(self, text: str) -> list[str]:
+        """The pieces of a text. Where it has code points of another class, these are exchanged while it is split."""
+        if self.odd is None or text.isascii() or not self.odd(text):
+            return self.findall(text)
+        return [text[m.start() : m.end()] for m in self.finditer(text.translate(self.stands_for))]
+
     def forget(self) -> None:
         """No piece is known; ``ids`` holds the tokens of the known ones, one after the other."""
         self.known: dict[str, int] = {}
