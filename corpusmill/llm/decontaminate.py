@@ -11,25 +11,30 @@ block and value that lists the items within those bits finds every item within t
 
 At similarity 0.8 and equal sizes fingerprints differ in about 10 bits with a deviation of 3; the radius of 24 leaves five deviations.
 
-The items are collected in runs of at most ``most_bytes`` of text, each broadcast on its own, so the broadcast has a fixed bound and a
-larger benchmark reads the documents again for each run.
+The items are collected in runs of at most ``most_words`` words (an index takes about 600 bytes for each). One run is broadcast at a time and
+given back when its leaks are written, so a larger benchmark reads the documents again for each run and neither the driver nor a task holds
+more than one run.
 
 Rows: null and empty texts and items have no words; they leak nothing and are leaked by nothing. Repeated documents and items are judged
 each for itself; null ids are kept. An item's best window counts, the first among equals. Texts go in whole, empty tables give no leaks,
-and only the named columns are read.
+and only the named columns are read. A kept column named leaks is an error that names it.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_slices, raw
+from .common import check_names, map_slices, raw, stored
 from .words import Words
 
 BLOCKS = 8
@@ -158,36 +163,53 @@ class Index:
             out[d].append({"item_id": group.ids[i], "similarity": found, "start": start - int(words.first[d]), "n_words": n_words})
 
 
-def item_runs(benchmark: DataFrame, item_id: str, text: str, most_bytes: int) -> list[list[tuple[int | None, bytes]]]:
-    """The items in runs of bounded size."""
-    runs, size = [[]], 0
+def item_runs(benchmark: DataFrame, item_id: str, text: str, most_words: int) -> Iterator[list[tuple[int | None, bytes]]]:
+    """The items in runs of bounded size, one at a time; an item that is longer alone."""
+    run, held = [], 0
     for row in benchmark.select(F.col(item_id).cast("long"), F.col(text).cast("string")).toLocalIterator():
         item = (row[0], (row[1] or "").encode())
-        if runs[-1] and size + len(item[1]) > most_bytes:
-            runs.append([])
-            size = 0
-        runs[-1].append(item)
-        size += len(item[1])
-    return runs
+        words = len(item[1].split())
+        if run and held + words > most_words:
+            yield run
+            run, held = [], 0
+        run.append(item)
+        held += words
+    yield run
 
 
-def find_leaks(df: DataFrame, benchmark: DataFrame, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",), item_id: str = "item_id", item_text: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 24, most_bytes: int = 4_000_000) -> DataFrame:
+KIND = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("start", pa.int32()), ("n_words", pa.int32())]))
+
+
+def find_leaks(df: DataFrame, benchmark: DataFrame, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",), item_id: str = "item_id", item_text: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 24, most_words: int = 200_000) -> DataFrame:
     """``keep`` columns and ``leaks``, the items that the row leaks with similarity, first word and number of words; every row stays."""
-    rows = df.select(*[F.col(k).alias(f"__keep{i}") for i, k in enumerate(keep)], F.col(text).cast("string").alias("__text"))
-    n = len(keep)
-    for items in item_runs(benchmark, item_id, item_text, most_bytes):
-        shared = df.sparkSession.sparkContext.broadcast(Index(items, shingle, similarity, radius))
-        kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-
-        def judge(part: pa.RecordBatch, shared=shared, names=tuple(rows.columns)) -> pa.RecordBatch:
-            found = shared.value.leaks(raw(part.column(names.index("__text"))))
-            if "__leaks" in names:
-                at = names.index("__leaks")
-                found = [a + b for a, b in zip(part.column(at).to_pylist(), found, strict=True)]
-                part = part.select([k for k in names if k != "__leaks"])
-            kind = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("start", pa.int32()), ("n_words", pa.int32())]))
-            return pa.RecordBatch.from_arrays([*part.columns, pa.array(found, kind)], [*part.schema.names, "__leaks"])
-
-        kinds = kinds if "__leaks" in rows.columns else f"{kinds}, `__leaks` {LEAKS}"
-        rows = map_slices(rows, judge, kinds, n)
-    return rows.select(*[F.col(f"__keep{i}").alias(k) for i, k in enumerate(keep)], F.col("__leaks").alias("leaks"))
+    check_names(keep, ("leaks",))
+    own = [f"__keep{i}" for i in range(len(keep))]
+    rows = df.select(*[F.col(k).alias(o) for k, o in zip(keep, own, strict=True)], F.col(text).cast("string").alias("__text"))
+    context = df.sparkSession.sparkContext
+    runs = item_runs(benchmark, item_id, item_text, most_words)
+    first, second = next(runs), next(runs, None)
+    if second is None:
+        shared = context.broadcast(Index(first, shingle, similarity, radius))
+
+        def judge(part: pa.RecordBatch) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(shared.value.leaks(raw(part.column(len(own)))), KIND)], [*own, "leaks"])
+
+        kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
+        return map_slices(rows, judge, f"{kinds}leaks {LEAKS}", len(own)).toDF(*keep, "leaks")
+
+    # texts with leaks of a run are written, by digest, before the next run is collected
+    found = []
+    for items in chain([first, second], runs):
+        shared = context.broadcast(Index(items, shingle, similarity, radius))
+
+        def leaking(part: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
+            texts = raw(part.column(0))
+            leaks = shared.value.leaks(texts)
+            at = [i for i, x in enumerate(leaks) if x]
+            return pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(texts[i]).hexdigest() for i in at], pa.string()), pa.array([leaks[i] for i in at], KIND)], ["__sha", "leaks"])
+
+        found.append(stored(map_slices(rows.select("__text"), leaking, f"__sha string, leaks {LEAKS}", 0).dropDuplicates(["__sha"])))
+        shared.destroy()
+    every = reduce(DataFrame.unionByName, found).groupBy("__sha").agg(F.array_sort(F.flatten(F.collect_list("leaks"))).alias("leaks"))
+    rows = rows.withColumn("__sha", F.sha2(F.coalesce("__text", F.lit("")), 256)).drop("__text").join(every, "__sha", "left")
+    return rows.select(*own, F.coalesce("leaks", F.array().cast(LEAKS)).alias("leaks")).toDF(*keep, "leaks")
