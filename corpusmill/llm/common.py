@@ -9,8 +9,10 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +64,48 @@ def map_slices(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | Non
     return df.mapInArrow(run, schema)
 
 
+def id_filter(ids: DataFrame, column: str, most_bits: int) -> np.ndarray:
+    """A Bloom filter of one probe over distinct bigints: 16 bits for each, ``most_bits`` at most."""
+    bits = min(max(1 << 15, 1 << (16 * max(1, ids.count()) - 1).bit_length()), most_bits)
+    at = F.expr(f"pmod(xxhash64(`{column}`), {bits}L) + 1")  # bitmaps count from 1
+    parts = ids.select((F.bitmap_bucket_number(at) - 1).alias("part"), F.bitmap_bit_position(at).alias("bit"))
+    whole = np.zeros(bits // 8, np.uint8)
+    for row in parts.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator():  # 4 KB each, bits / 8 bytes in all
+        part = np.frombuffer(row["bits"], np.uint8)[: len(whole)]
+        begin = row["part"] * 4096
+        whole[begin : begin + len(part)] = part[: len(whole) - begin]
+    return whole
+
+
+def chosen(marks: Broadcast, wanted: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The rows whose number in the first column the filter has, or the others; those without a number are others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = marks.value
+        for batch in batches:
+            ids = batch.column(0)
+            at = spark_hash(ids.fill_null(0).to_numpy(zero_copy_only=False)) % np.int64(8 * len(bits))
+            has = (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool) & ids.is_valid().to_numpy(zero_copy_only=False)
+            rows = batch.filter(pa.array(has == wanted))
+            if rows.num_rows:
+                yield rows
+
+    return run
+
+
+def spark_hash(values: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64 of bigints, with its seed of 42; ``%`` of its results is pmod, as numpy's remainder takes the sign of the divisor."""
+    p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    turn = lambda x, n: (x << np.uint64(n)) | (x >> np.uint64(64 - n))
+    with np.errstate(over="ignore"):
+        h = np.uint64(42) + p5 + np.uint64(8)
+        h = h ^ (turn(values.astype(np.int64).view(np.uint64) * p2, 31) * p1)
+        h = turn(h, 27) * p1 + p4
+        h = (h ^ (h >> np.uint64(33))) * p2
+        h = (h ^ (h >> np.uint64(29))) * p3
+    return (h ^ (h >> np.uint64(32))).view(np.int64)
+
+
 def raw(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null is empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

@@ -5,6 +5,9 @@ Pairs are merged bit by bit: a bit is in the merged second filter if it is in ei
 tasks have is in it. The merged second filter is broadcast. Only keys that it has are shuffled, as 128-bit digests, to be counted exactly
 and to learn which document keeps them; a filter that is too full sends more keys there and changes no result.
 
+Texts are not shuffled but those of documents that may lose a line, which a filter over their ids tells from the rest. Keys that very
+many documents have are broadcast instead of joined, so that none fills a task.
+
 The filters have 8 bits for each line that ``lines_per_document`` leads to expect, ``most_bits`` at most, and so a fixed largest size.
 
 A key is a line stripped of blanks at both ends with A-Z lower-cased. Keys of at least ``least_chars`` code points in at least
@@ -12,7 +15,7 @@ A key is a line stripped of blanks at both ends with A-Z lower-cased. Keys of at
 
 Rows: null and empty texts are one empty line. A document without an id keeps all lines and isn't counted. Rows that repeat an id are
 counted one by one, and keep or lose a line together. An empty table gives an empty result. Texts go in whole; columns that aren't
-named in ``keep`` are not read.
+named in ``keep`` are not read, and kept ones named text, n_lines or n_dropped are an error that names them.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, checkpointed, map_slices, raw
+from .common import BLANKS, check_names, checkpointed, chosen, id_filter, map_slices, raw
 
 CHUNK = 1 << 14
 PROBES = 4
@@ -122,6 +125,7 @@ def filter_bits(documents: int, lines_per_document: int, most_bits: int) -> int:
 
 def dedup_lines(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", keep: tuple[str, ...] = ("doc_id",), least_chars: int = 20, least_documents: int = 3, lines_per_document: int = 16, most_bits: int = 1 << 28) -> DataFrame:
     """``keep`` columns, ``text`` without the lines that go, n_lines and n_dropped."""
+    check_names(keep, ("text", "n_lines", "n_dropped"))
     docs = df.select(F.col(doc_id).cast("long").alias("__id"), F.col(text).cast("string").alias("__text"))
     known = docs.where("__id IS NOT NULL")
     bits = filter_bits(docs.count(), lines_per_document, most_bits)
@@ -139,12 +143,21 @@ def dedup_lines(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", ke
         return pa.RecordBatch.from_arrays([pa.array([digests[i] for i in found], pa.binary()), pa.array([ids[i] for i in found], pa.int64())], ["key", "__id"])
 
     suspects = checkpointed(map_slices(known, suspect, "key binary, __id bigint", 1))
-    kept = suspects.groupBy("key").agg(F.count("*").alias("n"), F.max("__id").alias("last")).where(F.col("n") >= least_documents)
-    lost = suspects.join(kept.select("key", "last"), "key").where("__id < last")
-    lost = lost.groupBy("__id").agg(F.collect_set("key").alias("__lost"))
-
-    rows = df.select(F.col(doc_id).cast("long").alias("__id"), F.col(text).cast("string").alias("__text"), *[F.col(k).alias(f"__keep{i}") for i, k in enumerate(keep)])
-    joined = rows.join(lost, "__id", "left").select(*[f"__keep{i}" for i in range(len(keep))], "__lost", "__text")
+    kept = checkpointed(suspects.groupBy("key").agg(F.count("*").alias("n"), F.max("__id").alias("last")).where(F.col("n") >= least_documents))
+    # keys that a thousandth of all suspects have are fewer than a thousand, and are broadcast: none of them fills a task
+    often = F.col("n") > F.lit(suspects.count() / 1000)
+    hot, cold = F.broadcast(kept.where(often).select("key", "last")), kept.where(~often).select("key", "last")
+    lost = suspects.join(hot, "key").unionByName(suspects.join(hot.select("key"), "key", "left_anti").join(cold, "key")).where("__id < last")
+    lost = checkpointed(lost.groupBy("__id").agg(F.collect_set("key").alias("__lost")))
+    marks = df.sparkSession.sparkContext.broadcast(id_filter(lost, "__id", most_bits))
+
+    own = [f"__keep{i}" for i in range(len(keep))]
+    rows = df.select(F.col(doc_id).cast("long").alias("__id"), *[F.col(k).alias(o) for k, o in zip(keep, own, strict=True)], F.col(text).cast("string").alias("__text"))
+    none = F.lit(None).cast("array<binary>").alias("__lost")
+    # only documents that may lose lines are shuffled; the others, and those without an id, pass where they lie
+    apart = lambda wanted: rows.mapInArrow(chosen(marks, wanted), rows.schema)
+    at_hand = apart(False).select(*own, none, "__text")
+    joined = apart(True).join(lost, "__id", "left").select(*own, "__lost", "__text")
     kinds = "".join(f"`__keep{i}` {joined.schema[i].dataType.simpleString()}, " for i in range(len(keep)))
 
     def cut(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -162,5 +175,5 @@ def dedup_lines(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", ke
         made = [pa.array(texts, pa.binary()).cast(pa.string()), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())]
         return pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *made], [*part.schema.names[: len(keep)], "text", "n_lines", "n_dropped"])
 
-    out = map_slices(joined, cut, f"{kinds}text string, n_lines bigint, n_dropped bigint", len(keep) + 1)
-    return out.toDF(*keep, "text", "n_lines", "n_dropped")
+    parts = [map_slices(part, cut, f"{kinds}text string, n_lines bigint, n_dropped bigint", len(keep) + 1) for part in (at_hand, joined)]
+    return parts[0].unionByName(parts[1]).toDF(*keep, "text", "n_lines", "n_dropped")

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, chat, decontaminate, license_scan, line_dedup, quality, simhash, substring_dedup, topk, url_filter
+from corpusmill.llm import bpe, chat, common, decontaminate, license_scan, line_dedup, quality, simhash, substring_dedup, topk, url_filter
 from corpusmill.llm.automaton import SuffixAutomaton
 from corpusmill.llm.components import components
 from corpusmill.llm.queries import vocabulary
@@ -57,13 +57,24 @@ def judged(url):
 
 
 @pytest.mark.parametrize("limit", [64_000_000, 0])
-def test_urls_with_trie_and_with_join(spark, limit):
-    df = clashing(spark.createDataFrame([(i, u) for i, u in enumerate(URLS + URLS[:3])], "page_id bigint, url string")).drop("host")
+def test_urls_with_one_trie_and_with_many(spark, limit):
+    df = clashing(spark.createDataFrame([(i, u) for i, u in enumerate(URLS + URLS[:3])], "page_id bigint, url string"))
     got = url_filter.filter_urls(df, ALLOW, BLOCK, keep=("page_id",), max_broadcast_bytes=limit).orderBy("page_id").collect()
     for r in got:
         assert tuple(r[1:]) == judged((URLS + URLS[:3])[r["page_id"]]), r
     assert len(got) == len(URLS) + 3
     assert url_filter.filter_urls(df.limit(0), ALLOW, BLOCK, max_broadcast_bytes=limit).count() == 0
+    both = spark.createDataFrame([("http://net/x",), ("http://net",)], "url string")
+    assert [tuple(r) for r in url_filter.filter_urls(both, ["net/"], ["NET/"], max_broadcast_bytes=limit).select("rule", "verdict").collect()] == [("NET/", "block"), (None, "allow")]
+    with pytest.raises(ValueError, match="host"):
+        url_filter.filter_urls(df, ALLOW, BLOCK, keep=("page_id", "host"))
+
+
+def test_many_entries_below_one_host():
+    trie = url_filter.UrlTrie((f"example.org/{i}", "block") for i in range(100_000))
+    at = trie.root.below["org"].below["example"].paths
+    assert at.below[""].sizes == [5, 4, 3, 2, 1] and trie.match("a.example.org", "/99999x/y") == (2, 6, "example.org/99999", "block")
+    assert trie.match("example.org", "/x") is None
 
 
 # --- 2 ----------------------------------------------------------------------------------------------------------------------------------
@@ -206,6 +217,21 @@ def test_lines(spark, bits):
     got = line_dedup.dedup_lines(clashing(docs(spark, rows)), most_bits=bits, lines_per_document=1)
     assert sorted((tuple(r) for r in got.collect()), key=repr) == lines_kept(rows)
     assert line_dedup.dedup_lines(docs(spark, rows).limit(0)).count() == 0
+    with pytest.raises(ValueError, match="n_lines"):
+        line_dedup.dedup_lines(clashing(docs(spark, rows)), keep=("doc_id", "n_lines"))
+
+
+def test_documents_that_lose_lines_are_told_from_others(spark):
+    import numpy as np
+
+    ids = [0, 1, -1, 7, 2**62, -(2**63), 2**63 - 1, 123456789]
+    df = spark.createDataFrame([(i,) for i in ids], "__id bigint")
+    assert [r[0] for r in df.select(F.xxhash64("__id")).collect()] == common.spark_hash(np.array(ids)).tolist()
+    marks = spark.sparkContext.broadcast(common.id_filter(df, "__id", 1 << 28))
+    many = spark.createDataFrame([(i,) for i in [*ids, *range(1000, 5000), None]], "__id bigint").repartition(3)
+    chosen, others = (many.mapInArrow(common.chosen(marks, w), many.schema) for w in (True, False))
+    assert {*ids} <= {r[0] for r in chosen.collect()} and chosen.count() < 400 and chosen.count() + others.count() == many.count()
+    assert others.where("__id IS NULL").count() == 1
 
 
 def test_filters_never_miss_a_repeat():
@@ -245,6 +271,19 @@ def test_tokens_equal_the_librarys(spark):
     assert bpe.encode(docs(spark, rows).limit(0), vocab).count() == 0
 
 
+def test_every_code_point_is_split_as_by_the_library():
+    import tiktoken
+
+    vocab = vocabulary()
+    library = tiktoken.Encoding("own", pat_str=vocab.pattern, mergeable_ranks=vocab.ranks, special_tokens={})
+    assert vocab.stands_for  # the two have other Unicode tables
+    codec, every = vocab.codec, [chr(c) for c in [*range(0x3000), *range(0xA000, 0xD800), *range(0xE000, 0x3FFFF), *sorted(vocab.stands_for)] if not 0xD800 <= c < 0xE000][::1]
+    for form in ("a{}b", " {}'s", "!{}?", "1{}2", "\n{} "):
+        text = "".join(form.format(c) for c in every)
+        assert codec.encode_batch([text])[0].tolist() == library.encode_ordinary(text)
+    codec.forget()
+
+
 def test_few_kept_pieces_change_nothing(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE", 40)
     rng = random.Random(2)
@@ -299,8 +338,10 @@ def test_leaks_against_brute_force(spark):
         rows.append((i, " ".join(words)))
     rows += [(200, None), (201, ""), (None, items[9][1].upper()), (5, rows[5][1]), (202, "filler words " * 30_000 + items[20][1])]
     bench = spark.createDataFrame(items, "item_id bigint, text string")
-    for limit in (4_000_000, 500):  # at once and in runs
-        got = decontaminate.find_leaks(clashing(docs(spark, rows)).drop("leaks"), bench, most_bytes=limit).collect()
+    with pytest.raises(ValueError, match="leaks"):
+        decontaminate.find_leaks(clashing(docs(spark, rows)), bench, keep=("doc_id", "leaks"))
+    for limit in (200_000, 80):  # at once and in runs
+        got = decontaminate.find_leaks(clashing(docs(spark, rows)), bench, most_words=limit).collect()
         found = Counter((r["doc_id"], tuple(sorted(((x["item_id"], round(x["similarity"], 9), x["start"]) for x in r["leaks"]), key=repr))) for r in got)
         want = Counter((i, tuple(sorted(leaks_by_force(t or "", [(k, v or "") for k, v in items]) if i != 202 else [(items[20][0], 1.0, 60_000)], key=repr))) for i, t in rows)
         assert found == want
@@ -381,7 +422,7 @@ def test_near_duplicates(spark):
     rng = random.Random(9)
     base = [" ".join(rng.choice("Ab cd é\u00a0f gh ij kl".split(" ")) for _ in range(rng.randint(1, 90))) for _ in range(30)]
     rows = [(i, base[rng.randrange(30)] + rng.choice(["", "", " tail"])) for i in range(1, 120)] + [(500, None), (501, ""), (400, " \n"), (502, "one"), (503, "ONE"), (504, "long text of words " * 20_000)]
-    got = {r["doc_id"]: r for r in simhash.near_duplicates(clashing(docs(spark, rows)).drop("fp")).collect()}
+    got = {r["doc_id"]: r for r in simhash.near_duplicates(clashing(docs(spark, rows))).collect()}
     prints = {i: print_of(t) for i, t in rows}
     want = groups_by_force(prints, 2)
     assert {i: (r["fp"] & (2**64 - 1), r["component_id"]) for i, r in got.items()} == {i: (prints[i], want[i]) for i in prints}
@@ -465,6 +506,14 @@ def test_turns_read_back(spark):
         said, a, b = chat.turn(role, text)
         assert [x[:2] for x in chat.parse(said)] == [(role or "", text)] and chat.unescape(said[a:b]) == text
     rows = [(i % 9, rng.choice([0, 1, 1, 2, None]), rng.choice(["user", "assistant", None, "tool"]), rng.choice([None, "", "x </s>", "[INST]"])) for i in range(200)] + [(None, 0, "user", "y" * 300_000)]
+    for _ in range(300):  # a whole conversation, read in parts of any size
+        turns = [(rng.choice(["user", "assistant", "system", "tool"]), "".join(rng.choice(parts) for _ in range(rng.randint(0, 5)))) for _ in range(rng.randint(0, 6))]
+        whole, reader, at, read = chat.BEGIN + "".join(chat.turn(*t)[0] for t in turns), chat.Reader(), 0, []
+        while at < len(whole):
+            size = rng.randint(1, 30)
+            read += reader.feed(whole[at : at + size])
+            at += size
+        assert [*read, *reader.close()] == turns
     df = clashing(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).repartition(3)
     got = {}
     for r in chat.format_conversations(df).collect():
@@ -491,7 +540,7 @@ def test_top_k_against_brute_force(spark, most):
     rng = random.Random(7)
     rows = [(i, [rng.choice([0.5, -1.25, 0.001, rng.uniform(-2, 2)]) for _ in range(6)]) for i in range(150)]
     rows += [(1000, None), (1001, []), (1002, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (1003, [math.nan] * 6), (1004, [math.inf] * 6), (None, [1.0] * 6), (7, [2.0] * 6), (1010, [1.0, 2.0]), (1020, [3.0, -1.0]), (1100, rows[3][1]), (1200, [1e30] * 6)]
-    df = clashing(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).drop("score").repartition(4)
+    df = clashing(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).repartition(4)
     got = {}
     for r in topk.top_k(df, F.col("vec_id") % 10 == 0, k=5, block_rows=8, most_queries=most).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
