@@ -1,11 +1,14 @@
-"""Near-duplicates by exact shingle similarity: texts whose sets of word shingles have a Jaccard similarity of at least 0.8.
+"""Near-duplicates by SimHash ball hashing, verified by exact shingle similarity, and a second route for what fingerprints cannot reach:
+texts whose sets of word shingles have a Jaccard similarity of at least 0.8.
 
-Texts with the same words in the same order, A-Z lower-cased, are one node, named by 64 bits of a digest of these words. Every node has
-32 keys, each a digest of 4 minima of its shingles' hashes. Of a pair at similarity s each key agrees with probability s ** 4, so a pair
-at 0.8 has no key in common with probability (1 - 0.8 ** 4) ** 32 < 5e-8, a closer one with less. SimHash bounds this similarity badly: at
-0.8 fingerprints of 64 bits differ in 10 bits with a deviation of 3, and balls of 20 bits and more have too many variants.
+Texts with the same words in the same order, A-Z lower-cased, are one node, named by 64 bits of a digest of these words. Every node has a
+64-bit SimHash of its shingles. Fingerprints within ``radius`` meet as in ``simhash``: each emits its variants within half the radius, and
+pairs that collide are candidates. At a similarity of 0.8, though, fingerprints differ in 10 bits with a deviation of 3, and balls of half of
+20 bits have 10**10 variants. So every node also has 32 keys, each a digest of 4 minima of its shingles' hashes. Of a pair at similarity s
+each key agrees with probability s ** 4, so a pair at 0.8 has no key in common with probability (1 - 0.8 ** 4) ** 32 < 5e-8, a closer one with less.
 
-Nodes with a key in common are a bucket. First, each is compared with the least of its bucket, and components are made of the pairs found.
+Nodes with a key in common are a bucket. First, each is compared with the least of its bucket and with those that its fingerprint meets, and
+components are made of the pairs found.
 Then buckets that still hold several components are compared in full, in pairs of blocks of ``block`` nodes each, so a task holds two
 blocks and no bucket is collected; no bucket is capped. All comparisons are exact, over sets of 64-bit hashes of the shingles.
 
@@ -22,8 +25,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, map_slices, raw
+from .common import checkpointed, chosen, id_filter, map_slices, raw
 from .components import components
+from .simhash import fingerprint, links
 from .words import Words, mix
 
 BANDS, ROWS = 32, 4
@@ -55,11 +59,10 @@ def shingles(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(owner, np.arange(len(texts) + 1))
 
 
-def keys(texts: list[bytes], width: int) -> list[np.ndarray | None]:
-    """The keys of each text, None where it has no words."""
-    hashes, begins = shingles(texts, width)
+def keys(hashes: np.ndarray, begins: np.ndarray) -> list[np.ndarray | None]:
+    """The keys of each text, None where it has no shingles."""
     own = np.flatnonzero(np.diff(begins))
-    out: list[np.ndarray | None] = [None] * len(texts)
+    out: list[np.ndarray | None] = [None] * (len(begins) - 1)
     if not len(own):
         return out
     least = np.empty((BANDS * ROWS, len(own)), np.uint64)
@@ -76,6 +79,22 @@ def keys(texts: list[bytes], width: int) -> list[np.ndarray | None]:
     return out
 
 
+def prints(hashes: np.ndarray, begins: np.ndarray) -> list[int | None]:
+    """The fingerprint of each text as a signed number, None where it has no shingles."""
+    made = [fingerprint(hashes[a:b]) if b > a else None for a, b in zip(begins[:-1], begins[1:], strict=True)]
+    return [f - (1 << 64) if f is not None and f >> 63 else f for f in made]
+
+
+def _met(each: DataFrame, radius: int) -> DataFrame:
+    """Pairs lo, hi of nodes whose fingerprints are within the radius: of equal fingerprints each node with the least, of others the least of each."""
+    known = each.where("print IS NOT NULL").select("node", "print", F.min("node").over(Window.partitionBy("print")).alias("first"))
+    known = checkpointed(known)
+    firsts = known.where("node = first").select(F.col("print").alias("fp"), "node")
+    pairs = links(firsts.select("fp"), radius)
+    pairs = pairs.join(firsts.select(F.col("fp").alias("a"), F.col("node").alias("x")), "a").join(firsts.select(F.col("fp").alias("b"), F.col("node").alias("y")), "b")
+    return known.where("node <> first").select(F.col("first").alias("lo"), F.col("node").alias("hi")).unionByName(pairs.select(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")))
+
+
 def _linked(nodes: list[int], roots: list[int], sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
     """Pairs of ``nodes`` with sets that similar: enough to connect all such pairs, given that equal ``roots`` are connected."""
     n, sizes = len(nodes), np.array([len(s) for s in sets], np.int64)
@@ -140,11 +159,12 @@ def _compared(rows: DataFrame, sets: DataFrame, unit: list[str], similarity: flo
     return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def near_classes(df: DataFrame, *, text: str = "text", width: int = 5, similarity: float = 0.8, block: int = 500) -> DataFrame:
+def near_classes(df: DataFrame, *, text: str = "text", width: int = 5, similarity: float = 0.8, radius: int = 2, block: int = 500, most_bits: int = 1 << 28) -> DataFrame:
     """node and root of every text that is linked to another: texts with equal roots are one group. Others are groups of their own."""
 
     def make_keys(part: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([part.column(0), pa.array(keys(raw(part.column(1)), width), pa.list_(pa.int64()))], ["node", "keys"])
+        made = shingles(raw(part.column(1)), width)
+        return pa.RecordBatch.from_arrays([part.column(0), pa.array(keys(*made), pa.list_(pa.int64())), pa.array(prints(*made), pa.int64())], ["node", "keys", "print"])
 
     def make_sets(part: pa.RecordBatch) -> pa.RecordBatch:
         hashes, begins = shingles(raw(part.column(1)), width)
@@ -152,18 +172,23 @@ def near_classes(df: DataFrame, *, text: str = "text", width: int = 5, similarit
         return pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["node", "hashes"])
 
     texts = df.select(node(F.col(text)).alias("node"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    made = map_slices(texts, make_keys, "node bigint, keys array<bigint>", 1, most=500_000)
-    each = made.groupBy("node").agg(F.first("keys", ignorenulls=True).alias("keys"))
+    made = map_slices(texts, make_keys, "node bigint, keys array<bigint>, print bigint", 1, most=500_000)
+    each = checkpointed(made.groupBy("node").agg(F.first("keys", ignorenulls=True).alias("keys"), F.first("print", ignorenulls=True).alias("print")))
     every = Window.partitionBy("key")
-    rows = each.select("node", F.explode("keys").alias("key")).select("key", "node", F.min("node").over(every).alias("hub"), F.max("node").over(every).alias("last"))
+    rows = each.select("node", F.explode_outer("keys").alias("key")).where("key IS NOT NULL")
+    rows = rows.select("key", "node", F.min("node").over(every).alias("hub"), F.max("node").over(every).alias("last"))
     buckets = checkpointed(rows.where("hub < last").select("key", "node", "hub"))
-    needed = buckets.select("node").distinct()
-    sets = checkpointed(map_slices(texts.join(needed, "node", "left_semi").dropDuplicates(["node"]), make_sets, "node bigint, hashes binary", 1))
-
-    pairs = buckets.where("node <> hub").select("hub", "node").distinct()
-    pairs = pairs.select(F.col("hub").alias("lo"), F.col("node").alias("hi")).select("lo", "hi", F.explode(F.array("lo", "hi")).alias("node"))
-    links = checkpointed(_compared(pairs.withColumn("root", F.col("node")), sets, ["lo", "hi"], similarity))
-    found = components(links)
+    met = buckets.where("node <> hub").select(F.col("hub").alias("lo"), F.col("node").alias("hi")).unionByName(_met(each, radius))
+    met = checkpointed(met.distinct())
+    needed = buckets.select("node").unionByName(met.select(F.explode(F.array("lo", "hi")).alias("node"))).distinct()
+    # only texts that are to be compared are shuffled: a filter over their nodes tells them from the rest
+    marks = df.sparkSession.sparkContext.broadcast(id_filter(needed, "node", most_bits))
+    compared = texts.mapInArrow(chosen(marks, True), texts.schema).dropDuplicates(["node"])
+    sets = checkpointed(map_slices(compared, make_sets, "node bigint, hashes binary", 1))
+
+    pairs = met.select("lo", "hi", F.explode(F.array("lo", "hi")).alias("node"))
+    found_links = checkpointed(_compared(pairs.withColumn("root", F.col("node")), sets, ["lo", "hi"], similarity))
+    found = components(found_links)
     rooted = buckets.join(found, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     rooted = rooted.select("*", F.min("root").over(every).alias("low"), F.max("root").over(every).alias("high"))
     open_ = rooted.where("low < high").select("key", "node", "root", F.floor((F.row_number().over(every.orderBy("node")) - 1) / block).cast("int").alias("own"))
@@ -171,4 +196,4 @@ def near_classes(df: DataFrame, *, text: str = "text", width: int = 5, similarit
     units = units.select("key", "node", "root", "own", F.explode(F.sequence(F.lit(0), F.col("most"))).alias("other"))
     units = units.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "node", "root")
     more = checkpointed(_compared(units, sets, ["key", "lo", "hi"], similarity))
-    return components(links.unionByName(more))
+    return components(found_links.unionByName(more))
