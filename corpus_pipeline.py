@@ -26,31 +26,33 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of at least 20 characters in at least 3 documents stay in one of them."""
-    others = [c for c in docs.columns if c not in ("text", "n_chars")]
-    out = line_dedup.dedup_lines(docs, keep=tuple(others), least_chars=20, least_documents=3)
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    """Lines of at least 20 characters in at least 3 documents stay in one of them. All columns but text travel as one, so they may have any names."""
+    rows = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("row"), "doc_id", "text")
+    out = line_dedup.dedup_lines(rows, keep=("row",), least_chars=20, least_documents=3)
+    columns = [F.length("text").cast("long").alias(c) if c == "n_chars" else F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
+    return out.select(*columns)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts linked by similarities of at least 0.8 over five-word shingles, the document with the least id stays.
+    """Of each group of texts linked by similarities of at least 0.8 over five-word shingles, the document with the least id stays. Links are
+    found by operator 7's ball hashing of fingerprints and, where these lie too far apart, by the keys of ``near``; all are verified exactly.
 
     A document is an id with its words: where an id repeats with other words, each is judged for itself. Rows equal in both are one, the
     least of them by text and then the other columns."""
-    whole = docs.where("doc_id IS NOT NULL").withColumn("__node", near.node(F.col("text")))
-    found = near.near_classes(whole, width=5, similarity=0.8).withColumnRenamed("node", "__node")
+    whole = docs.where("doc_id IS NOT NULL").select("doc_id", near.node(F.col("text")).alias("__node"), F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")]).alias("__row"))
+    found = near.near_classes(docs.where("doc_id IS NOT NULL"), width=5, similarity=0.8).withColumnRenamed("node", "__node")
     ids = whole.groupBy("__node").agg(F.min("doc_id").alias("doc_id"))
     rooted = ids.join(found, "__node", "left").select(F.coalesce("root", "__node").alias("root"), "doc_id", "__node")
     first = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "__node")).alias("first")).select("first.*")
-    others = ["text", *(c for c in docs.columns if c not in ("doc_id", "text"))]
-    kept = whole.join(first, ["doc_id", "__node"], "left_semi").groupBy("doc_id", "__node").agg(F.min(F.struct(*others)).alias("row"))
-    return kept.select("doc_id", "row.*").unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+    kept = whole.join(first, ["doc_id", "__node"], "left_semi").groupBy("doc_id", "__node").agg(F.min("__row").alias("__row"))
+    return kept.select("doc_id", "__row.*").select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak a benchmark item go."""
-    judged = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), keep=tuple(docs.columns), shingle=5, similarity=0.8)
-    return judged.where(F.size("leaks") == 0).select(docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    judged = decontaminate.find_leaks(rows, table(spark, sf_dir, "benchmark"), keep=("row",), shingle=5, similarity=0.8)
+    return judged.where(F.size("leaks") == 0).select("row.*")
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
