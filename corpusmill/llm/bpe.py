@@ -1,7 +1,7 @@
 """Byte-level BPE: corpus-level merge replay, and decoding.
 
-Texts are split by a pattern, letters and numbers being those of the tokenizer library's Unicode tables. The distinct pieces of a block of texts that no earlier block of the task had are laid out as one array of
-tokens. An inverted index leads from the rank of a pair of neighbours to the positions where such a pair stands; a queue hands out the
+Texts are split by a pattern, letters and numbers being those of the tokenizer library's Unicode tables. The distinct pieces of a block of
+texts that no earlier block of the task had are laid out as one array of tokens. An inverted index leads from the rank of a pair of neighbours to the positions where such a pair stands; a queue hands out the
 ranks in order. A merge joins the two tokens at each position of its rank, from left to right, and indexes only the pairs with the
 neighbours it touched. Where that makes a pair of a lower rank, the lower rank goes first and the rest of the positions wait. So within each
 piece merges come as in a tokenizer: lowest rank first, leftmost first. A piece that is a token itself is that token.
@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property, lru_cache
@@ -81,7 +80,8 @@ class Codec:
         self.above = max(ranks.values()) + 1
         self.findall, self.finditer = regex.compile(vocabulary.pattern).findall, regex.compile(vocabulary.pattern).finditer
         self.stands_for = vocabulary.stands_for
-        self.odd = re.compile("[" + "".join(map(re.escape, map(chr, sorted(self.stands_for)))) + "]").search if self.stands_for else None
+        self.odd = np.zeros(0x110000, bool)
+        self.odd[list(self.stands_for)] = True
         self.forget()
         #: rank of what two tokens make together
         self.pairs: dict[int, int] = {}
@@ -94,7 +94,7 @@ class Codec:
 
     def split(self, text: str) -> list[str]:
         """The pieces of a text. Where it has code points of another class, these are exchanged while it is split."""
-        if self.odd is None or text.isascii() or not self.odd(text):
+        if text.isascii() or not self.odd[np.frombuffer(text.encode("utf-32-le"), "<u4")].any():
             return self.findall(text)
         return [text[m.start() : m.end()] for m in self.finditer(text.translate(self.stands_for))]
 
