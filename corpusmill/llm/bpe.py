@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import give_back, slices
 
 CACHE = 150_000
 
@@ -227,6 +227,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, *, text: str = "text", keep: t
                 decoded.append(codec.decode(tokens.tolist()))
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(ids, pa.binary()), pa.array(counts, pa.int64()), pa.array(decoded, pa.binary())], [*part.schema.names[:-1], "ids", "n_tokens", "decoded"])
         codec.forget()
+        give_back()
 
     return chosen.mapInArrow(run, kept + ENCODED)
 

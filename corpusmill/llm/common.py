@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
@@ -60,10 +61,18 @@ def map_slices(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | Non
         for part in slices(batches, text, most):
             if (out := f(part)) is not None and out.num_rows:
                 yield out
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system when a task ends: workers wait for their next task beside an executor that needs it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def id_filter(ids: DataFrame, column: str, most_bits: int) -> np.ndarray:
     """A Bloom filter of one probe over distinct bigints: 16 bits for each, ``most_bits`` at most."""
     bits = min(max(1 << 15, 1 << (16 * max(1, ids.count()) - 1).bit_length()), most_bits)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, chosen, id_filter, map_slices, raw
+from .common import checkpointed, chosen, give_back, id_filter, map_slices, raw
 from .components import components
 from .simhash import fingerprint, links
 from .words import Words, mix
@@ -155,6 +155,7 @@ def _compared(rows: DataFrame, sets: DataFrame, unit: list[str], similarity: flo
         close()
         if links:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], ["a", "b"])
+        give_back()
 
     return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
