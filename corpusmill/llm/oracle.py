@@ -89,4 +89,26 @@ SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_remo
 FROM worded LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE_SQL = {"op1_url_filter": OP1, "op4_line_dedup": OP4, "op8_substring_dedup": OP8, "op9_chat_formatting": OP9, "op10_exact_top_k": OP10}
+INERT = "(list_inner_product(v, v) - 2 * list_inner_product(v, m) + list_inner_product(m, m))"
+NEAREST = "SELECT id, vec_id, v, c, {d} AS d FROM kept, {c} QUALIFY row_number() OVER (PARTITION BY id ORDER BY d, c) = 1"
+MOVED = """SELECT c0.c, coalesce(x.m, c0.m) AS m FROM {c} c0 LEFT JOIN (
+    SELECT c, list(floor_ ORDER BY pos) AS m FROM (
+      SELECT c, pos, CAST((s - ((s % n) + n) % n) // n AS DOUBLE) AS floor_ FROM (
+        SELECT c, pos, CAST(sum(x) AS HUGEINT) AS s, count(*) AS n FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM {a}) GROUP BY c, pos))
+    GROUP BY c) x ON x.c = c0.c"""
+OP11 = f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c1 AS (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v AS m FROM (SELECT sha256('1:' || vec_id) AS h, v FROM kept ORDER BY h, v LIMIT 16)
+), a1 AS ({NEAREST.format(d=INERT, c="c1")}), c2 AS ({MOVED.format(c="c1", a="a1")}
+), a2 AS ({NEAREST.format(d=INERT, c="c2")}), c3 AS ({MOVED.format(c="c2", a="a2")}
+), a3 AS ({NEAREST.format(d=INERT, c="c3")}), c4 AS ({MOVED.format(c="c3", a="a3")}
+), a4 AS ({NEAREST.format(d=INERT, c="c4")})
+SELECT vec_id, CAST(a4.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY a4.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(list_transform(c4.m, lambda x: CAST(x AS BIGINT)), ',')) AS centroid_sha256
+FROM a4 JOIN c4 ON a4.c = c4.c
+"""
+
+ORACLE_SQL = {"op1_url_filter": OP1, "op4_line_dedup": OP4, "op8_substring_dedup": OP8, "op9_chat_formatting": OP9, "op10_exact_top_k": OP10, "op11_centroid_clustering": OP11}

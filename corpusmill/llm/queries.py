@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, license_scan, line_dedup, quality, simhash, substring_dedup, topk, url_filter
+from . import alignment, bpe, chat, clusters, decontaminate, fingerprints, license_scan, line_dedup, quality, simhash, substring_dedup, topk, url_filter
 from .common import table
 
 BLOCK, ALLOW = ("net/", "example.com/de/"), ("example.net/en/", "org/fr/")
@@ -108,6 +108,26 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = clusters.cluster_vectors(table(spark, sf_dir, "embeddings"), k=16, rounds=3, scale=64, dimensions=64, seed=1)
+    text = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(text, 256).alias("centroid_sha256"))
+
+
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"), keep=("doc_id",))
+
+
+def tokenizers() -> alignment.Tokenizers:
+    import public_tokenizers as files
+
+    return alignment.Tokenizers(files.path("byte_bpe_50k.json"), files.path("byte_bpe_50k.tiktoken"), files.PATTERN, files.path("piece_bpe_32k.model"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizers(), keep=("doc_id",))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -121,5 +141,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_substring_dedup,
         op9_chat_formatting,
         op10_exact_top_k,
+        op11_centroid_clustering,
+        op12_document_fingerprints,
+        op13_tokenizer_alignment,
     )
 }
