@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,6 +31,10 @@ from .common import check_names, give_back, slices, stored
 MADE = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "links", "row")
 #: Code points below this have the same classes in both libraries that split texts (tested one by one); texts beyond go to the slower one.
 SHARED = "ɐ"
+SPACE = "▁"
+CACHE = 150_000
+#: white space before a space
+DOUBLE = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
 
 
 @dataclass(frozen=True)
@@ -51,7 +56,11 @@ def byte_letters() -> dict[str, int]:
 
 
 class Pair:
-    """Both tokenizers, loaded once in a worker. ``bytes_a`` and ``bytes_b``: each id's bytes."""
+    """Both tokenizers, loaded once in a worker. ``bytes_a`` and ``bytes_b``: each id's bytes.
+
+    Neither has a token that goes from another character on to a space, so what stands from a space to the next is encoded for itself, once for
+    all its occurrences: A encodes it with the space before it, B adds that space. Spaces behind white space and at the end belong to what is
+    before them. ``CACHE`` such words are kept, then those of the block at hand."""
 
     def __init__(self, files: Tokenizers):
         import sentencepiece
@@ -70,23 +79,89 @@ class Pair:
             raise ValueError("ranks and tokenizer file are not of one vocabulary")
         self.fast = tiktoken.Encoding("ranks", pat_str=files.a_pattern, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_file=files.b_model)
-        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        if any(SPACE in p.lstrip(SPACE) for p in pieces):
+            raise ValueError("B has pieces that go on to a space: its words cannot be encoded one by one")
+        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
         self.size_a, self.size_b = (np.array([len(x) for x in table], np.int32) for table in (self.bytes_a, self.bytes_b))
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.good = np.empty(0, bool)
+        self.ids = [np.empty(0, np.int32), np.empty(0, np.int32)]
+        self.sizes = [np.empty(0, np.int64), np.empty(0, np.int64)]
+        self.begins = [np.empty(0, np.int64), np.empty(0, np.int64)]
 
     def encode_a(self, text: str) -> list[int]:
         if max(text) < SHARED:
             return self.fast.encode_ordinary(text)
         return self.exact.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both, none for texts that are not given back by either."""
-        a = [self.encode_a(" " + t) if t else [] for t in texts]
-        b = [x if t else [] for x, t in zip(self.b.encode(texts, num_threads=1), texts, strict=True)]
-        for i, t in enumerate(texts):
-            whole = b" " + t.encode()
-            if t and not whole == b"".join(map(self.bytes_a.__getitem__, a[i])) == b"".join(map(self.bytes_b.__getitem__, b[i])):
-                a[i] = b[i] = []
-        return a, b
+    def learn(self, words: list[str]) -> None:
+        whole = [(" " + w).encode() for w in words]
+        joined, lengths = b"".join(whole), np.fromiter(map(len, whole), np.int64, len(words))
+        good = np.ones(len(words), bool)
+        for k, (flat, counts) in enumerate((self._of_words(words, lengths), _flat(self.b.encode(words, num_threads=1)))):
+            table, size = ((self.bytes_a, self.size_a), (self.bytes_b, self.size_b))[k]
+            ends = np.cumsum(counts)
+            self.begins[k] = np.append(self.begins[k], len(self.ids[k]) + ends - counts)
+            self.ids[k], self.sizes[k] = np.append(self.ids[k], flat), np.append(self.sizes[k], counts)
+            given = np.diff(np.append(0, np.cumsum(size[flat]))[np.append(0, ends)])
+            if (given != lengths).any() or b"".join(map(table.__getitem__, flat.tolist())) != joined:
+                good &= [b"".join(map(table.__getitem__, flat[e - n : e].tolist())) == w for e, n, w in zip(ends.tolist(), counts.tolist(), whole, strict=True)]
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
+        self.good = np.append(self.good, good)
+
+    def _of_words(self, words: list[str], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A's ids of all words and how many each has; they are those of a text of these words, one after the other."""
+        text = " " + " ".join(words)
+        if max(text) >= SHARED or any(w in text for w in DOUBLE) or text[-1:].isspace():
+            return _flat([self.encode_a(" " + w) for w in words])
+        ids = np.array(self.encode_a(text), np.int32)
+        return ids, np.diff(np.searchsorted(np.cumsum(self.size_a[ids]), np.cumsum(lengths)) + 1, prepend=0)
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For A and for B the ids of all texts, one after the other, and how many each text has: none where either doesn't give it back."""
+        split = [words(t) if t else [] for t in texts]
+        new = set().union(*split).difference(self.known)
+        if new and len(self.known) + len(new) > CACHE:
+            self.forget()
+            new = set().union(*split)
+        if new:
+            self.learn(sorted(new))
+        at = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(split)), np.int64)
+        owner = np.repeat(np.arange(len(texts)), [len(x) for x in split])
+        bad = np.zeros(len(texts), bool)
+        bad[owner[~self.good[at]]] = True
+        at, owner = at[~bad[owner]], owner[~bad[owner]]
+        out = []
+        for k in (0, 1):
+            sizes = self.sizes[k][at]
+            ends = np.cumsum(sizes)
+            ids = self.ids[k][np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begins[k][at] - ends + sizes, sizes)]
+            out.append((ids, np.bincount(owner, weights=sizes, minlength=len(texts)).astype(np.int64)))
+        return out
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(itertools.chain.from_iterable(lists), np.int32, int(counts.sum())), counts
+
+
+def words(text: str) -> list[str]:
+    """A text cut before each space that stands behind another character than white space, without that space."""
+    parts = text.split(" ")
+    if parts[0] and parts[-1] and not any(pair in text for pair in DOUBLE):
+        return parts
+    out, closed = [parts[0]], bool(parts[0]) and not parts[0][-1].isspace()
+    for i, part in enumerate(parts[1:], 1):
+        if closed and (part or i < len(parts) - 1):
+            out.append(part)
+        else:
+            out[-1] += " " + part
+        closed = bool(part) and not part[-1].isspace()
+    return out
 
 
 @functools.lru_cache(1)
@@ -97,21 +172,21 @@ def pair(files: Tokenizers) -> Pair:
 def tokenize_both(df: DataFrame, files: Tokenizers, *, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """``kept`` (a struct of the kept columns), a, a_ends, b and b_ends: ids and the offsets at which they end in space + text."""
 
-    def lists(ids: list[list[int]], size: np.ndarray) -> tuple[pa.Array, pa.Array]:
-        counts = np.array([len(x) for x in ids], np.int64)
-        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-        flat = np.concatenate([np.array(x, np.int32) for x in ids]) if offsets[-1] else np.empty(0, np.int32)
-        sums = np.concatenate([[0], np.cumsum(size[flat], dtype=np.int64)])
+    def lists(ids: np.ndarray, counts: np.ndarray, size: np.ndarray) -> tuple[pa.Array, pa.Array]:
+        offsets = np.concatenate([[0], np.cumsum(counts)])
+        sums = np.concatenate([[0], np.cumsum(size[ids], dtype=np.int64)])
         ends = (sums[1:] - np.repeat(sums[offsets[:-1]], counts)).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ends))
+        offsets = pa.array(offsets.astype(np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(ids)), pa.ListArray.from_arrays(offsets, pa.array(ends))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = pair(files)
         for batch in slices(batches, 1, 1_000_000):
             texts = ["" if x is None else x.decode("utf-8", "replace") for x in batch.column(1).cast(pa.binary()).to_pylist()]
             a, b = both.encode(texts)
-            columns = [batch.column(0), *lists(a, both.size_a), *lists(b, both.size_b)]
+            columns = [batch.column(0), *lists(*a, both.size_a), *lists(*b, both.size_b)]
             yield pa.RecordBatch.from_arrays(columns, ["kept", "a", "a_ends", "b", "b_ends"])
+        both.forget()
         give_back()
 
     rows = df.select(F.struct(*keep).alias("kept"), F.col(text).cast("string").alias("text"))
@@ -125,31 +200,32 @@ def let(value: Column, body) -> Column:
 
 
 def linked(tokens: DataFrame) -> DataFrame:
-    """kept, n_a, n_b, n_groups, groups_sha256 and links (A's id times 2**32 plus B's, one for each overlap) from both tokenizers' arrays."""
-    zero = F.lit(0)
+    """kept, n_a, n_b, n_groups, groups_sha256 and links (A's id times 2**32 plus B's, one for each overlap, among nulls) from both tokenizers' arrays.
+
+    A link ends where its A token ends or else inside of it where its B token ends, so there is one for each token of A, and one for each
+    token of B whose end is no end of A."""
     merged = F.sort_array(F.concat(F.transform("a_ends", lambda e: e * 2), F.transform("b_ends", lambda e: e * 2 + 1)))  # at equal ends A's stands first
-    places = F.filter(F.transform(merged, lambda x, at: F.when(x % 2 == 0, at)), lambda at: at.isNotNull())
-    before = F.transform(places, lambda at, i: at - i)  # for each token of A, how many of B end before its end: the one at this place ends there or beyond
-
-    def made(before: Column) -> Column:
-        both = F.zip_with(before, "a_ends", lambda n, e: (F.get("b_ends", n) == e).cast("int"))
-        return let(both, lambda both: body(before, both))
-
-    def body(before: Column, both: Column) -> Column:
-        first = lambda i: F.when(i > 0, F.get(before, i - 1) + F.get(both, i - 1)).otherwise(zero)
-        links = F.flatten(F.transform("a", lambda id_, i: F.transform(F.sequence(first(i), F.get(before, i)), lambda j: F.shiftleft(id_.cast("long"), 32) + F.get("b", j))))
-        cuts = F.filter(F.transform(both, lambda cut, i: F.when(cut == 1, i)), lambda i: i.isNotNull())
-        return let(cuts, lambda cuts: F.struct(links.alias("links"), groups(before, cuts).alias("groups")))
-
-    def groups(before: Column, cuts: Column) -> Column:
-        run = lambda ids, low, high: F.array_join(F.transform(F.sequence(low, high), lambda j: F.get(ids, j).cast("string")), ",")
-        low_a = lambda g: F.when(g > 0, F.get(cuts, g - 1) + 1).otherwise(zero)
-        low_b = lambda g: F.when(g > 0, F.get(before, F.get(cuts, g - 1)) + 1).otherwise(zero)
-        each = F.transform(cuts, lambda i, g: F.concat(run("a", low_a(g), i), F.lit("|"), run("b", low_b(g), F.get(before, i))))
-        return F.array_join(each, ";")
+    marks = F.transform(merged, lambda x, at: F.when(x.bitwiseAND(1) == 0, at).otherwise(-1 - at))
+    link = lambda a, b: F.shiftleft(a.cast("long"), 32) + b
+
+    def places(marks: Column) -> Column:
+        before = F.transform(F.filter(marks, lambda m: m >= 0), lambda m, i: m - i)  # of each token of A: the number of the B token that ends with it or holds its end
+        until = F.transform(F.filter(marks, lambda m: m < 0), lambda m, j: -1 - m - j)  # of each token of B: how many of A end before or with it
+        texts = [F.col(x).cast("array<string>") for x in "ab"]
+        return let(before, lambda before: let(until, lambda until: let(texts[0], lambda a: let(texts[1], lambda b: made(before, until, a, b)))))
+
+    def made(before: Column, until: Column, texts_a: Column, texts_b: Column) -> Column:
+        at_a = F.zip_with("a", before, lambda id_, n: link(id_, F.get("b", n)))
+        ends_too = lambda n, j: (n > 0) & (F.get("a_ends", n - 1) == F.get("b_ends", j))
+        at_b = F.transform(until, lambda n, j: F.when(~ends_too(n, j), link(F.get("a", n), F.get("b", j))))
+        groups_a = F.transform(before, lambda n, i: F.concat(F.get(texts_a, i), F.when(F.get("b_ends", n) == F.get("a_ends", i), ";").otherwise(",")))
+        groups_b = F.transform(until, lambda n, j: F.concat(F.get(texts_b, j), F.when(ends_too(n, j), ";").otherwise(",")))
+        sides = [F.split(F.rtrim(F.array_join(g, ""), F.lit(";")), ";") for g in (groups_a, groups_b)]
+        groups = F.array_join(F.zip_with(*sides, lambda x, y: F.concat(x, F.lit("|"), y)), ";")
+        return F.struct(F.concat(at_a, at_b).alias("links"), groups.alias("groups"))
 
     none = F.size("a") == 0
-    rows = tokens.withColumn("made", F.when(~none, let(before, made)))
+    rows = tokens.withColumn("made", F.when(~none, let(marks, places)))
     size = lambda c: F.size(c).cast("long")
     return rows.select(
         "kept", size("a").alias("n_a"), size("b").alias("n_b"), size(F.array_intersect("a_ends", "b_ends")).alias("n_groups"),
@@ -159,7 +235,7 @@ def linked(tokens: DataFrame) -> DataFrame:
 
 def pair_counts(links: DataFrame) -> DataFrame:
     """pair, n (rows that hold it) and best (whether no pair of the same A id has more)."""
-    counts = links.select(F.explode(F.array_distinct("links")).alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
+    counts = links.select(F.explode(F.array_distinct("links")).alias("pair")).where("pair IS NOT NULL").groupBy("pair").agg(F.count("*").alias("n"))
     counts = stored(counts.withColumn("a", F.shiftright("pair", 32)))
     most = counts.groupBy("a").agg(F.max("n").alias("most"))
     return counts.join(most, "a").select("pair", "n", (F.col("n") == F.col("most")).alias("best"))  # at most a pair for each B id in a group
@@ -173,7 +249,7 @@ def align(df: DataFrame, files: Tokenizers, *, keep: tuple[str, ...] = ("doc_id"
     least = threshold(counts, most_broadcast)
     frequent = F.broadcast(counts.where(F.col("n") >= least))  # most_broadcast rows at most
     sums = [F.sum("times").alias("links_"), F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("n")).alias("count_sum")]
-    single = rows.select("row", F.explode("links").alias("pair"))
+    single = rows.select("row", F.explode("links").alias("pair")).where("pair IS NOT NULL")
     found = single.join(frequent, "pair").withColumn("times", F.lit(1)).groupBy("row").agg(*sums)
     if counts.where(F.col("n") < least).limit(1).count():
         rare = single.join(frequent.select("pair"), "pair", "left_anti").groupBy("row", "pair").agg(F.count("*").alias("times"))
