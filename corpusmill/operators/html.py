@@ -8,11 +8,13 @@ from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from corpusmill.functions.text import slugify, strip, whitespace_words
+from corpusmill.operators.rank import ranked
+from corpusmill.session import stored
 
 # --- fixed values -------------------------------------------------------------------------------------------------------------------------
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -26,6 +28,9 @@ FENCES = {"li": "ul ol", "tr": "table", "td": "table", "th": "table", "dt": "dl"
 # ------------------------------------------------------------------------------------------------------------------------------------------
 
 
+COMMENT = "#comment"
+
+
 @dataclass
 class Node:
     tag: str
@@ -83,6 +88,12 @@ class _Builder(HTMLParser):
     def handle_data(self, data: str) -> None:
         self.open[-1].parts.append(data)
 
+    def handle_comment(self, data: str) -> None:
+        """Its text is nobody's, but what follows it is text behind the comment, not behind the element before."""
+        self.open[-1].parts.append(Node(COMMENT))
+
+    handle_pi = unknown_decl = handle_comment
+
 
 def tree(html: str) -> Node:
     builder = _Builder()
@@ -103,7 +114,7 @@ def _is_chrome(node: Node) -> bool:
 
 
 def without_chrome(node: Node) -> Node:
-    """The element without its chrome. What follows a removed element up to the next one goes with it."""
+    """The element without its chrome. What follows a removed element up to the next one, or to a comment, goes with it."""
     kept: list[Node | str] = []
     gone = False
     for part in node.parts:
@@ -178,6 +189,7 @@ ELEMENTS: dict[str, Callable[[Node, _Place], str]] = {
     **{f"h{k}": _heading for k in range(1, 7)}, "table": _table, "pre": _code_block, "ul": _list, "ol": _list, "a": _link, "img": _image,
     "br": lambda node, at: "\n", "hr": lambda node, at: "\n\n---\n\n", "strong": _marked("**"), "b": _marked("**"), "em": _marked("*"), "i": _marked("*"),
     "code": _marked("`"), "tt": _marked("`"), "p": _paragraph, "blockquote": _quote,
+    COMMENT: lambda node, at: "",
 }
 
 
@@ -223,16 +235,51 @@ def page_path_kept(path: Column) -> Column:
 def import_pages(pages: DataFrame, *, path: str = "path", html: str = "html", min_words: int = 10) -> DataFrame:
     """path, status (converted, stub or unparseable), slug (null unless converted), title and body.
 
-    Pages of equal slug are numbered from 2 in the order of their paths. A numbered slug that another page has by itself moves on: slugs
-    are numbered again among themselves until none is left twice."""
+    In the order of their paths each page takes its slug, or the slug with the first number from 2 on, that none before it has taken."""
     name = F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.[^.]*$", "")
     rows = convert_pages(pages.select(path, html).where(page_path_kept(F.col(path))), html)
     status = F.when(F.col("error").isNotNull(), "unparseable").when(whitespace_words(F.col("body")) < min_words, "stub").otherwise("converted")
     rows = rows.select(F.col(path).alias("path"), status.alias("status"), F.when(strip(F.coalesce("title", F.lit(""))) != "", F.col("title")).otherwise(name).alias("title"), "body", name.alias("__stem"))
     own = F.coalesce(F.nullif(slugify(F.col("title")), F.lit("")), F.nullif(slugify(F.col("__stem")), F.lit("")), F.lit("page"))
-    rows = rows.withColumn("__own", F.when(F.col("status") == "converted", own))
-    nth = F.row_number().over(Window.partitionBy("__own").orderBy("path"))
-    rows = rows.withColumn("__nth", nth).withColumn("slug", F.when(F.col("__own").isNotNull(), F.when(F.col("__nth") == 1, F.col("__own")).otherwise(F.concat_ws("-", "__own", "__nth"))))
-    again = F.row_number().over(Window.partitionBy("slug").orderBy("__nth", "path"))
-    rows = rows.withColumn("__again", again)
-    return rows.select("path", "status", F.when(F.col("slug").isNotNull() & (F.col("__again") > 1), F.concat_ws("-", "slug", "__again")).otherwise(F.col("slug")).alias("slug"), "title", "body")
+    rows = stored(rows.select("path", "status", F.when(F.col("status") == "converted", own).alias("own"), "title", "body"))
+    return rows.join(distinct_slugs(rows.where("own IS NOT NULL"), "path", "own"), "path", "left").select("path", "status", "slug", "title", "body")
+
+
+#: a slug that ends in a number, as a repeated slug gets it
+NUMBERED = r"^(.+)-([2-9]|[1-9][0-9]+)$"
+
+
+def distinct_slugs(pages: DataFrame, path: str, own: str) -> DataFrame:
+    """path and slug: each page's own slug, or the first of own-2, own-3, ... that no page with a smaller path has taken.
+
+    A slug can only be taken by pages of that own slug or, if it ends in a number, by those of the slug without it. Where no such two slugs
+    are there, a page's number is its rank among its slug's pages, and ranks are worked out over ranges, so that a slug that very many pages
+    have fills no task. Slugs that can take each other's go by families (what is left without all numbers at the end), each in the order of
+    paths, with one number kept for each slug of the family."""
+    rows = pages.select(F.col(path).alias("path"), F.col(own).alias("own")).withColumn("family", F.regexp_replace("own", r"(-([2-9]|[1-9][0-9]+))+$", ""))
+    slugs = rows.groupBy("own", "family").agg(F.count("*").alias("n"))
+    parents = slugs.where("n > 1").select(F.col("own").alias("parent"))
+    mixed = slugs.select("family", F.regexp_extract("own", NUMBERED, 1).alias("parent")).join(parents, "parent", "left_semi").select("family").distinct()
+    rows = rows.join(mixed.withColumn("mixed", F.lit(True)), "family", "left")
+    alone = ranked(rows.where("mixed IS NULL").select("path", "own"), ["own"], "path")
+    alone = alone.select("path", F.when(F.col("rank") == 1, F.col("own")).otherwise(F.concat_ws("-", "own", "rank")).alias("slug"))
+
+    def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        family, following = None, {}  # the number that each slug of the family would try next
+        for batch in batches:
+            names = []
+            for group, wanted in zip(batch["family"], batch["own"], strict=True):
+                if group != family:
+                    family, following = group, {}
+                n = following.get(wanted)
+                if n is None:
+                    found = re.match(NUMBERED, wanted)
+                    n = 2 if found and following.get(found[1], 0) > int(found[2]) else 1
+                while n > 1 and f"{wanted}-{n}" in following:
+                    n += 1
+                following[wanted] = max(n + 1, 2)
+                names.append(wanted if n == 1 else f"{wanted}-{n}")
+            yield pd.DataFrame({"path": batch["path"], "slug": names})
+
+    together = rows.where("mixed").select("family", "path", "own").repartition("family").sortWithinPartitions("family", "path")
+    return alone.unionByName(together.mapInPandas(take, "path string, slug string"))

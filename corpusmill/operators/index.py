@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.config import Index, Related
+from corpusmill.operators.rank import ranked
 from corpusmill.session import stored
 
 
@@ -53,16 +54,8 @@ def entry_siblings(vectors: DataFrame, threshold: float = 0.30) -> DataFrame:
 
 
 def index_lines(entries: DataFrame, key: str = "document_slug", first: int = 7, each: int = 6) -> DataFrame:
-    """key and line: where each entry's header stands in the index file. Ranks come from range partitions and their sizes, so no
-    single task sorts all entries."""
-    keys = entries.select(key).distinct()
-    parts = keys.repartitionByRange(key).sortWithinPartitions(key)
-    placed = parts.withColumn("__part", F.spark_partition_id())
-    within = Window.partitionBy("__part").orderBy(key)
-    sizes = placed.groupBy("__part").agg(F.count("*").alias("n"))
-    before = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row for each partition
-    rank = F.row_number().over(within) - 1 + F.col("before")
-    return placed.join(F.broadcast(before.drop("n")), "__part").select(key, (first + each * rank).cast("int").alias("line"))
+    """key and line: where each entry's header stands in the index file. No single task sorts all entries."""
+    return ranked(entries.select(key).distinct(), [], key).select(key, (first + each * (F.col("rank") - 1)).cast("int").alias("line"))
 
 
 def index_refs(chunks: DataFrame, lines: DataFrame) -> DataFrame:
