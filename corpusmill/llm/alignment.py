@@ -33,6 +33,8 @@ MADE = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha2
 SHARED = "ɐ"
 SPACE = "▁"
 CACHE = 150_000
+#: marks an id as the last of its group; above all ids
+CLOSES = 10**7
 #: white space before a space
 DOUBLE = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
 
@@ -84,6 +86,8 @@ class Pair:
             raise ValueError("B has pieces that go on to a space: its words cannot be encoded one by one")
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
         self.size_a, self.size_b = (np.array([len(x) for x in table], np.int32) for table in (self.bytes_a, self.bytes_b))
+        if max(len(self.bytes_a), len(self.bytes_b)) >= CLOSES:
+            raise ValueError(f"ids must be below {CLOSES}")
         self.forget()
 
     def forget(self) -> None:
@@ -199,6 +203,12 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def _closed(ids: Column) -> Column:
+    """Ids joined by commas; those that end a group are given as -CLOSES - id, and a semicolon follows them instead."""
+    zeros = len(str(CLOSES)) - 2
+    return F.regexp_replace(F.array_join(ids.cast("array<string>"), ","), f"-10{{0,{zeros}}}([0-9]+),?", "$1;")
+
+
 def linked(tokens: DataFrame) -> DataFrame:
     """kept, n_a, n_b, n_groups, groups_sha256 and links (A's id times 2**32 plus B's, one for each overlap, among nulls) from both tokenizers' arrays.
 
@@ -211,18 +221,16 @@ def linked(tokens: DataFrame) -> DataFrame:
     def places(marks: Column) -> Column:
         before = F.transform(F.filter(marks, lambda m: m >= 0), lambda m, i: m - i)  # of each token of A: the number of the B token that ends with it or holds its end
         until = F.transform(F.filter(marks, lambda m: m < 0), lambda m, j: -1 - m - j)  # of each token of B: how many of A end before or with it
-        texts = [F.col(x).cast("array<string>") for x in "ab"]
-        return let(before, lambda before: let(until, lambda until: let(texts[0], lambda a: let(texts[1], lambda b: made(before, until, a, b)))))
+        cut_b = lambda until: F.transform(until, lambda n, j: (n > 0) & (F.get("a_ends", n - 1) == F.get("b_ends", j)))
+        return let(before, lambda before: let(until, lambda until: let(cut_b(until), lambda cuts: made(before, until, cuts))))
 
-    def made(before: Column, until: Column, texts_a: Column, texts_b: Column) -> Column:
+    def made(before: Column, until: Column, cut_b: Column) -> Column:
         at_a = F.zip_with("a", before, lambda id_, n: link(id_, F.get("b", n)))
-        ends_too = lambda n, j: (n > 0) & (F.get("a_ends", n - 1) == F.get("b_ends", j))
-        at_b = F.transform(until, lambda n, j: F.when(~ends_too(n, j), link(F.get("a", n), F.get("b", j))))
-        groups_a = F.transform(before, lambda n, i: F.concat(F.get(texts_a, i), F.when(F.get("b_ends", n) == F.get("a_ends", i), ";").otherwise(",")))
-        groups_b = F.transform(until, lambda n, j: F.concat(F.get(texts_b, j), F.when(ends_too(n, j), ";").otherwise(",")))
-        sides = [F.split(F.rtrim(F.array_join(g, ""), F.lit(";")), ";") for g in (groups_a, groups_b)]
+        at_b = F.transform(until, lambda n, j: F.when(~F.get(cut_b, j), link(F.get("a", n), F.get("b", j))))
+        cut_a = F.zip_with(before, "a_ends", lambda n, e: F.get("b_ends", n) == e)
+        sides = [F.split(_closed(F.zip_with(ids, cuts, lambda id_, cut: F.when(cut, F.lit(-CLOSES) - id_).otherwise(id_))), ";") for ids, cuts in (("a", cut_a), ("b", cut_b))]
         groups = F.array_join(F.zip_with(*sides, lambda x, y: F.concat(x, F.lit("|"), y)), ";")
-        return F.struct(F.concat(at_a, at_b).alias("links"), groups.alias("groups"))
+        return F.struct(F.concat(at_a, at_b).alias("links"), F.substring(groups, F.lit(1), F.length(groups) - 2).alias("groups"))  # without what stands behind the last end
 
     none = F.size("a") == 0
     rows = tokens.withColumn("made", F.when(~none, let(marks, places)))
