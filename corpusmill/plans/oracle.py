@@ -225,4 +225,11 @@ ORACLE: dict[str, str] = {
     "lexical_topk": f"""WITH {WEIGHTS}, asked AS (SELECT t AS term, 1 AS n FROM (SELECT unnest(['worthless', 'erhe', 'tion', 'auxtion', 'keit']) AS t)),
       q AS (SELECT term, idf / sqrt(sum(idf * idf) OVER ()) AS q FROM asked JOIN idf USING (term))
       SELECT chunk_id, round_even(sum(w * q), 6) AS score FROM weights JOIN q USING (term) GROUP BY chunk_id ORDER BY round_even(sum(w * q), 9) DESC, chunk_id LIMIT 10""",
+    "postings_topk": f"""WITH {WEIGHTS}, q AS (
+        SELECT chunk_id AS query_id, term, w AS q FROM weights JOIN units USING (chunk_id) WHERE idx % 100 = 0
+        QUALIFY row_number() OVER (PARTITION BY chunk_id ORDER BY round_even(w, 9) DESC, term) <= 8),
+      scored AS (SELECT query_id, chunk_id, sum(w * q) AS s FROM weights JOIN q USING (term) GROUP BY ALL)
+      SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY round_even(s, 9) DESC, chunk_id) AS rank, chunk_id, round_even(s, 6) AS score FROM scored QUALIFY rank <= 10""",
 }
+ORACLE["vector_index_topk"] = ORACLE["vector_topk"]
+ORACLE["upsert_merged"] = ORACLE["upsert_chunks"]

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.config import Config
 from corpusmill.functions import text as T
 from corpusmill.operators import annotate, html, index, pack, salience, search, segment
+from corpusmill.operators.ann import VectorIndex
+from corpusmill.operators.postings import Postings
 from corpusmill.plans import compile as plan
-from corpusmill.session import stored
+from corpusmill.session import scratch, stored
+from corpusmill.sources.collection import Collection
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -376,6 +379,15 @@ def upsert_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.upsert(rows, pages_)
 
 
+@query
+def upsert_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of upsert_chunks, through a collection that keeps the second table as a delta."""
+    held = Collection(spark, scratch(spark))
+    held.upsert(table(spark, sf_dir, "documents").select(F.concat(F.lit("doc-"), "doc_id").alias("chunk_id"), "source", F.col("doc_id").alias("version")))
+    held.upsert(table(spark, sf_dir, "pages").select(F.concat(F.lit("doc-"), F.col("page_id") * 2).alias("chunk_id"), F.lit("page").alias("source"), F.col("page_id").alias("version")))
+    return held.rows().select("chunk_id", "source", "version")
+
+
 # --- pages and search -----------------------------------------------------------------------------------------------------------------------
 
 
@@ -410,6 +422,38 @@ def lexical_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.lexical_top_k(weights, idf, "worthless erhe tion auxtion keit", 10).select("chunk_id", F.bround("score", 6).alias("score"))
 
 
+def _vector_index(spark: SparkSession, sf_dir: str) -> tuple[VectorIndex, DataFrame]:
+    """An index of all vectors, and those whose id is divisible by 100 as queries."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return VectorIndex.build(rows, scratch(spark), dimensions=64), rows.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+
+
+@query
+def vector_index_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of vector_topk, from an index that tells which cells can hold them."""
+    held, asked = _vector_index(spark, sf_dir)
+    return held.nearest(asked, 10).select("query_id", F.col("rank").cast(LONG).alias("rank"), "vec_id", F.bround("score", 6).alias("score"))
+
+
+@query
+def vector_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearly the rows of vector_topk, from the cells nearest to each query."""
+    held, asked = _vector_index(spark, sf_dir)
+    return held.probe(asked, 10).select("query_id", F.col("rank").cast(LONG).alias("rank"), "vec_id", F.bround("score", 6).alias("score"))
+
+
+@query
+def postings_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten chunks nearest to the eight heaviest terms of every document whose id is divisible by 100."""
+    rows = units(spark, sf_dir)
+    weights = stored(_weights(rows)[0])
+    asked = weights.join(rows.where("idx % 100 = 0").select("chunk_id"), "chunk_id", "left_semi")
+    heaviest = Window.partitionBy("chunk_id").orderBy(F.desc(F.bround("w", 9)), "term")
+    asked = asked.withColumn("place", F.row_number().over(heaviest)).where("place <= 8").select(F.col("chunk_id").alias("query_id"), "term", F.col("w").alias("q"))
+    found = Postings.build(weights, scratch(spark)).search(asked, 10)
+    return found.select("query_id", F.col("rank").cast(LONG).alias("rank"), "chunk_id", F.bround("score", 6).alias("score"))
+
+
 @query
 def full_compile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of a full compilation over the conversations: records with salience, related chunks and index references."""

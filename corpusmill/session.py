@@ -1,4 +1,4 @@
-"""Getting the package to the executors, and keeping tables that several steps read."""
+"""Getting the package to the executors, and writing tables that several steps read."""
 
 from __future__ import annotations
 
@@ -15,17 +15,25 @@ from pyspark.sql import DataFrame, SparkSession
 _shipped: set[str] = set()
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` for several readers: worked out once and written below spark.checkpoint.dir, where executors that are lost lose none of it;
-    where a session names no such folder it is cached instead."""
-    spark = df.sparkSession
+def scratch(spark: SparkSession) -> str:
+    """A new path in the folder that all executors share, by spark.checkpoint.dir; what is written there is deleted when Python ends.
+
+    Only where that setting is absent in local mode, as in tests, a temporary folder takes its place; a cluster without it is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        return df.persist()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = f"{tempfile.gettempdir()}/corpusmill-checkpoints"
     path = f"{folder}/corpusmill-{uuid.uuid4().hex}"
-    df.write.parquet(path)
     atexit.register(_delete, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` for several readers: worked out once and written to a scratch folder, so that executors that are lost lose none of it."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
