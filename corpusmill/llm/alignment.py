@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import check_names, give_back, slices, stored
+from .common import check_names, give_back, in_arrow, slices, stored
 
 MADE = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "links", "row")
 #: Code points below this have the same classes in both libraries that split texts (tested one by one); texts beyond go to the slower one.
@@ -195,7 +195,7 @@ def tokenize_both(df: DataFrame, files: Tokenizers, *, keep: tuple[str, ...] = (
 
     rows = df.select(F.struct(*keep).alias("kept"), F.col(text).cast("string").alias("text"))
     kind = rows.schema["kept"].dataType.simpleString()
-    return rows.mapInArrow(run, f"kept {kind}, a array<int>, a_ends array<int>, b array<int>, b_ends array<int>")
+    return in_arrow(rows, run, f"kept {kind}, a array<int>, a_ends array<int>, b array<int>, b_ends array<int>")
 
 
 def let(value: Column, body) -> Column:

@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import give_back, slices
+from .common import give_back, in_arrow, slices
 
 CACHE = 150_000
 
@@ -229,7 +229,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, *, text: str = "text", keep: t
         codec.forget()
         give_back()
 
-    return chosen.mapInArrow(run, kept + ENCODED)
+    return in_arrow(chosen, run, kept + ENCODED)
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, *, ids: str = "ids", keep: tuple[str, ...] = ()) -> DataFrame:

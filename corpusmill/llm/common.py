@@ -54,6 +54,18 @@ def slices(batches: Iterator[pa.RecordBatch], text: int, most: int = 2_000_000,
             yield batch.slice(begin, len(sizes) - begin)
 
 
+#: rows of an Arrow batch, where the session sets no other number: texts of a few thousand characters then take a few MB on either side
+BATCH_ROWS = 1000
+
+
+def in_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: object) -> DataFrame:
+    """``mapInArrow`` with batches of BATCH_ROWS rows: every worker of an executor holds some, and so does the JVM for each worker."""
+    conf = df.sparkSession._jsparkSession.conf()
+    if not conf.contains("spark.sql.execution.arrow.maxRecordsPerBatch"):
+        df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return df.mapInArrow(f, schema)
+
+
 def map_slices(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, text: int, most: int = 2_000_000) -> DataFrame:
     """``mapInArrow`` over slices of bounded size."""
 
@@ -63,7 +75,7 @@ def map_slices(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | Non
                 yield out
         give_back()
 
-    return df.mapInArrow(run, schema)
+    return in_arrow(df, run, schema)
 
 
 def give_back() -> None:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_text, check_names, give_back, slices, stored
+from .common import as_text, check_names, give_back, in_arrow, slices, stored
 
 PRIMES = (2**31 - 1, 2**31 - 19)
 BASES = (1_203_419_557, 864_203_711)
@@ -337,4 +337,4 @@ def fingerprint_documents(df: DataFrame, *, doc_id: str = "doc_id", text: str =
 
     kind = rows.schema["kept"].dataType.simpleString()
     schema = f"kept {kind}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return dealt.select("kept", "text", "copy").mapInArrow(run, schema).select("kept.*", *MADE)
+    return in_arrow(dealt.select("kept", "text", "copy"), run, schema).select("kept.*", *MADE)

@@ -13,8 +13,8 @@ The filters have 8 bits for each line that ``lines_per_document`` leads to expec
 A key is a line stripped of blanks at both ends with A-Z lower-cased. Keys of at least ``least_chars`` code points in at least
 ``least_documents`` documents lose their lines except in the document with the largest id among those that hold them.
 
-Rows: null and empty texts are one empty line. A document without an id keeps all lines and isn't counted. Rows that repeat an id are
-counted one by one, and keep or lose a line together. An empty table gives an empty result. Texts go in whole; columns that aren't
+Rows: null and empty texts are one empty line. A document without an id keeps all lines and isn't counted. Rows that repeat an id are one
+document: they count once for a line, and keep or lose it together. An empty table gives an empty result. Texts go in whole; columns that aren't
 named in ``keep`` are not read, and kept ones named text, n_lines or n_dropped are an error that names them.
 """
 
@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, check_names, checkpointed, chosen, id_filter, map_slices, raw
+from .common import BLANKS, check_names, checkpointed, chosen, id_filter, in_arrow, map_slices, raw
 
 CHUNK = 1 << 14
 PROBES = 4
@@ -109,7 +109,7 @@ def twice_seen(docs: DataFrame, bits: int, least_chars: int) -> bytes:
             yield pa.RecordBatch.from_arrays([pa.array([last], pa.int32()), pa.array([twice.tobytes()], pa.binary())], ["chunk", "twice"])
 
     tasks = max(1, 2 * docs.sparkSession.sparkContext.defaultParallelism)
-    parts = docs.coalesce(tasks).mapInArrow(build, "chunk int, once binary, twice binary")
+    parts = in_arrow(docs.coalesce(tasks), build, "chunk int, once binary, twice binary")
     merged = parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(merge, "chunk int, twice binary")
     whole = np.zeros(bits // 8, np.uint8)
     for row in merged.collect():  # at most bits / 8 bytes, however many documents
@@ -143,7 +143,7 @@ def dedup_lines(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", ke
         return pa.RecordBatch.from_arrays([pa.array([digests[i] for i in found], pa.binary()), pa.array([ids[i] for i in found], pa.int64())], ["key", "__id"])
 
     suspects = checkpointed(map_slices(known, suspect, "key binary, __id bigint", 1))
-    kept = checkpointed(suspects.groupBy("key").agg(F.count("*").alias("n"), F.max("__id").alias("last")).where(F.col("n") >= least_documents))
+    kept = checkpointed(suspects.distinct().groupBy("key").agg(F.count("*").alias("n"), F.max("__id").alias("last")).where(F.col("n") >= least_documents))
     # keys that a thousandth of all suspects have are fewer than a thousand, and are broadcast: none of them fills a task
     often = F.col("n") > F.lit(suspects.count() / 1000)
     hot, cold = F.broadcast(kept.where(often).select("key", "last")), kept.where(~often).select("key", "last")
@@ -155,7 +155,7 @@ def dedup_lines(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", ke
     rows = df.select(F.col(doc_id).cast("long").alias("__id"), *[F.col(k).alias(o) for k, o in zip(keep, own, strict=True)], F.col(text).cast("string").alias("__text"))
     none = F.lit(None).cast("array<binary>").alias("__lost")
     # only documents that may lose lines are shuffled; the others, and those without an id, pass where they lie
-    apart = lambda wanted: rows.mapInArrow(chosen(marks, wanted), rows.schema)
+    apart = lambda wanted: in_arrow(rows, chosen(marks, wanted), rows.schema)
     at_hand = apart(False).select(*own, none, "__text")
     joined = apart(True).join(lost, "__id", "left").select(*own, "__lost", "__text")
     kinds = "".join(f"`__keep{i}` {joined.schema[i].dataType.simpleString()}, " for i in range(len(keep)))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, chosen, give_back, id_filter, map_slices, raw
+from .common import checkpointed, chosen, give_back, id_filter, in_arrow, map_slices, raw
 from .components import components
 from .simhash import fingerprint, links
 from .words import Words, mix
@@ -184,7 +184,7 @@ def near_classes(df: DataFrame, *, text: str = "text", width: int = 5, similarit
     needed = buckets.select("node").unionByName(met.select(F.explode(F.array("lo", "hi")).alias("node"))).distinct()
     # only texts that are to be compared are shuffled: a filter over their nodes tells them from the rest
     marks = df.sparkSession.sparkContext.broadcast(id_filter(needed, "node", most_bits))
-    compared = texts.mapInArrow(chosen(marks, True), texts.schema).dropDuplicates(["node"])
+    compared = in_arrow(texts, chosen(marks, True), texts.schema).dropDuplicates(["node"])
     sets = checkpointed(map_slices(compared, make_sets, "node bigint, hashes binary", 1))
 
     pairs = met.select("lo", "hi", F.explode(F.array("lo", "hi")).alias("node"))
