@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import gc
 import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,8 +34,6 @@ MADE = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha2
 SHARED = "ɐ"
 SPACE = "▁"
 CACHE = 150_000
-#: marks an id as the last of its group; above all ids
-CLOSES = 10**7
 #: white space before a space
 DOUBLE = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
 
@@ -86,8 +85,6 @@ class Pair:
             raise ValueError("B has pieces that go on to a space: its words cannot be encoded one by one")
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
         self.size_a, self.size_b = (np.array([len(x) for x in table], np.int32) for table in (self.bytes_a, self.bytes_b))
-        if max(len(self.bytes_a), len(self.bytes_b)) >= CLOSES:
-            raise ValueError(f"ids must be below {CLOSES}")
         self.forget()
 
     def forget(self) -> None:
@@ -112,7 +109,7 @@ class Pair:
             self.begins[k] = np.append(self.begins[k], len(self.ids[k]) + ends - counts)
             self.ids[k], self.sizes[k] = np.append(self.ids[k], flat), np.append(self.sizes[k], counts)
             given = np.diff(np.append(0, np.cumsum(size[flat]))[np.append(0, ends)])
-            if (given != lengths).any() or b"".join(map(table.__getitem__, flat.tolist())) != joined:
+            if (given != lengths).any() or b"".join(map(table.__getitem__, flat.tolist())) != joined:  # bytes of all at once, of each only if they differ
                 good &= [b"".join(map(table.__getitem__, flat[e - n : e].tolist())) == w for e, n, w in zip(ends.tolist(), counts.tolist(), whole, strict=True)]
         self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
         self.good = np.append(self.good, good)
@@ -133,7 +130,7 @@ class Pair:
             self.forget()
             new = set().union(*split)
         if new:
-            self.learn(sorted(new))
+            self.learn(list(new))
         at = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(split)), np.int64)
         owner = np.repeat(np.arange(len(texts)), [len(x) for x in split])
         bad = np.zeros(len(texts), bool)
@@ -174,23 +171,25 @@ def pair(files: Tokenizers) -> Pair:
 
 
 def tokenize_both(df: DataFrame, files: Tokenizers, *, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """``kept`` (a struct of the kept columns), a, a_ends, b and b_ends: ids and the offsets at which they end in space + text."""
+    """``kept`` (a struct of the kept columns), a, a_ends, b and b_ends: ids and the offsets at which they end in space + text, in half bytes."""
 
     def lists(ids: np.ndarray, counts: np.ndarray, size: np.ndarray) -> tuple[pa.Array, pa.Array]:
         offsets = np.concatenate([[0], np.cumsum(counts)])
         sums = np.concatenate([[0], np.cumsum(size[ids], dtype=np.int64)])
-        ends = (sums[1:] - np.repeat(sums[offsets[:-1]], counts)).astype(np.int32)
+        ends = (2 * (sums[1:] - np.repeat(sums[offsets[:-1]], counts))).astype(np.int32)
         offsets = pa.array(offsets.astype(np.int32))
         return pa.ListArray.from_arrays(offsets, pa.array(ids)), pa.ListArray.from_arrays(offsets, pa.array(ends))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = pair(files)
+        gc.disable()  # words and ids make no cycles, and there are many
         for batch in slices(batches, 1, 1_000_000):
             texts = ["" if x is None else x.decode("utf-8", "replace") for x in batch.column(1).cast(pa.binary()).to_pylist()]
             a, b = both.encode(texts)
             columns = [batch.column(0), *lists(*a, both.size_a), *lists(*b, both.size_b)]
             yield pa.RecordBatch.from_arrays(columns, ["kept", "a", "a_ends", "b", "b_ends"])
         both.forget()
+        gc.enable()
         give_back()
 
     rows = df.select(F.struct(*keep).alias("kept"), F.col(text).cast("string").alias("text"))
@@ -203,37 +202,47 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _closed(ids: Column) -> Column:
-    """Ids joined by commas; those that end a group are given as -CLOSES - id, and a semicolon follows them instead."""
-    zeros = len(str(CLOSES)) - 2
-    return F.regexp_replace(F.array_join(ids.cast("array<string>"), ","), f"-10{{0,{zeros}}}([0-9]+),?", "$1;")
+def either(test: Column, yes: Column, no: Column) -> Column:
+    """SQL's if, which is worked out faster than CASE where no code is generated, as within functions of arrays."""
+    return F.call_function("if", test, yes, no)
 
 
 def linked(tokens: DataFrame) -> DataFrame:
-    """kept, n_a, n_b, n_groups, groups_sha256 and links (A's id times 2**32 plus B's, one for each overlap, among nulls) from both tokenizers' arrays.
-
-    A link ends where its A token ends or else inside of it where its B token ends, so there is one for each token of A, and one for each
-    token of B whose end is no end of A."""
-    merged = F.sort_array(F.concat(F.transform("a_ends", lambda e: e * 2), F.transform("b_ends", lambda e: e * 2 + 1)))  # at equal ends A's stands first
-    marks = F.transform(merged, lambda x, at: F.when(x.bitwiseAND(1) == 0, at).otherwise(-1 - at))
-    link = lambda a, b: F.shiftleft(a.cast("long"), 32) + b
-
-    def places(marks: Column) -> Column:
-        before = F.transform(F.filter(marks, lambda m: m >= 0), lambda m, i: m - i)  # of each token of A: the number of the B token that ends with it or holds its end
-        until = F.transform(F.filter(marks, lambda m: m < 0), lambda m, j: -1 - m - j)  # of each token of B: how many of A end before or with it
-        cut_b = lambda until: F.transform(until, lambda n, j: (n > 0) & (F.get("a_ends", n - 1) == F.get("b_ends", j)))
-        return let(before, lambda before: let(until, lambda until: let(cut_b(until), lambda cuts: made(before, until, cuts))))
-
-    def made(before: Column, until: Column, cut_b: Column) -> Column:
-        at_a = F.zip_with("a", before, lambda id_, n: link(id_, F.get("b", n)))
-        at_b = F.transform(until, lambda n, j: F.when(~F.get(cut_b, j), link(F.get("a", n), F.get("b", j))))
-        cut_a = F.zip_with(before, "a_ends", lambda n, e: F.get("b_ends", n) == e)
-        sides = [F.split(_closed(F.zip_with(ids, cuts, lambda id_, cut: F.when(cut, F.lit(-CLOSES) - id_).otherwise(id_))), ";") for ids, cuts in (("a", cut_a), ("b", cut_b))]
-        groups = F.array_join(F.zip_with(*sides, lambda x, y: F.concat(x, F.lit("|"), y)), ";")
-        return F.struct(F.concat(at_a, at_b).alias("links"), F.substring(groups, F.lit(1), F.length(groups) - 2).alias("groups"))  # without what stands behind the last end
+    """kept, n_a, n_b, n_groups, groups_sha256 and links (A's id times 2**32 plus B's, one for each overlap) from both tokenizers' arrays."""
+    zero = F.lit(0)
+    merged = F.sort_array(F.concat("a_ends", F.transform("b_ends", lambda e: e + 1)))  # ends are even: at equal ends A's stands first
+
+    def places(merged: Column) -> Column:
+        """For each token of A the first and the last token of B that overlap it, by how many of B end before A's ends do."""
+        of_a = F.filter(F.sequence(zero, F.size(merged) - 1), lambda p: F.get(merged, p).bitwiseAND(1) == 0)
+        high = F.transform(of_a, lambda p, i: p - i)
+        following = lambda high, ends: F.zip_with(high, "a_ends", lambda n, e: n + (F.get(ends, n) == e).cast("int"))
+        low = lambda high: let(F.col("b_ends"), lambda ends: F.concat(F.array(zero), following(high, ends)))
+        return let(high, lambda high: let(low(high), lambda low: let(F.col("b"), lambda b: made(low, high, b))))
+
+    def made(low: Column, high: Column, b: Column) -> Column:
+        overlapping = F.transform(high, lambda h, i: F.sequence(F.get(low, i), h))
+        shifted = F.transform("a", lambda id_: F.shiftleft(id_.cast("long"), 32))
+        links = F.flatten(F.zip_with(shifted, overlapping, lambda x, js: F.transform(js, lambda j: x + F.get(b, j))))
+        cuts = F.filter(F.sequence(zero, F.size("a") - 1), lambda i: F.get(low, i + 1) > F.get(high, i))  # tokens of A that end where one of B ends
+        return let(cuts, lambda cuts: F.struct(links.alias("links"), groups(high, cuts).alias("groups")))
+
+    def groups(high: Column, cuts: Column) -> Column:
+        """Ids by group: from the token after the last cut to the one at this."""
+        after = lambda lasts: F.concat(F.array(zero), F.transform(lasts, lambda i: i + 1))
+        several = lambda ids, low, high: F.array_join(F.transform(F.sequence(low, high), lambda j: F.get(ids, j)), ",")
+        run = lambda ids, low, high: either(low == high, F.get(ids, low), several(ids, low, high))
+        a, b = (F.col(x).cast("array<string>") for x in "ab")
+
+        def joined(low_a: Column, low_b: Column, high_b: Column, a: Column, b: Column) -> Column:
+            each = lambda i, g: F.concat(run(a, F.get(low_a, g), i), F.lit("|"), run(b, F.get(low_b, g), F.get(high_b, g)))
+            return F.array_join(F.transform(cuts, each), ";")
+
+        high_b = F.transform(cuts, lambda i: F.get(high, i))
+        return let(after(cuts), lambda low_a: let(high_b, lambda high_b: let(after(high_b), lambda low_b: let(a, lambda a: let(b, lambda b: joined(low_a, low_b, high_b, a, b))))))
 
     none = F.size("a") == 0
-    rows = tokens.withColumn("made", F.when(~none, let(marks, places)))
+    rows = tokens.withColumn("made", F.when(~none, let(merged, places)))
     size = lambda c: F.size(c).cast("long")
     return rows.select(
         "kept", size("a").alias("n_a"), size("b").alias("n_b"), size(F.array_intersect("a_ends", "b_ends")).alias("n_groups"),
@@ -243,7 +252,7 @@ def linked(tokens: DataFrame) -> DataFrame:
 
 def pair_counts(links: DataFrame) -> DataFrame:
     """pair, n (rows that hold it) and best (whether no pair of the same A id has more)."""
-    counts = links.select(F.explode(F.array_distinct("links")).alias("pair")).where("pair IS NOT NULL").groupBy("pair").agg(F.count("*").alias("n"))
+    counts = links.select(F.explode(F.array_distinct("links")).alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
     counts = stored(counts.withColumn("a", F.shiftright("pair", 32)))
     most = counts.groupBy("a").agg(F.max("n").alias("most"))
     return counts.join(most, "a").select("pair", "n", (F.col("n") == F.col("most")).alias("best"))  # at most a pair for each B id in a group
@@ -257,7 +266,7 @@ def align(df: DataFrame, files: Tokenizers, *, keep: tuple[str, ...] = ("doc_id"
     least = threshold(counts, most_broadcast)
     frequent = F.broadcast(counts.where(F.col("n") >= least))  # most_broadcast rows at most
     sums = [F.sum("times").alias("links_"), F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("n")).alias("count_sum")]
-    single = rows.select("row", F.explode("links").alias("pair")).where("pair IS NOT NULL")
+    single = rows.select("row", F.explode("links").alias("pair"))
     found = single.join(frequent, "pair").withColumn("times", F.lit(1)).groupBy("row").agg(*sums)
     if counts.where(F.col("n") < least).limit(1).count():
         rare = single.join(frequent.select("pair"), "pair", "left_anti").groupBy("row", "pair").agg(F.count("*").alias("times"))

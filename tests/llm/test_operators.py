@@ -197,7 +197,7 @@ def lines_kept(rows, least=20, most=3):
         if i is not None:
             for k in {key(x) for x in (t or "").split("\n")}:
                 if len(k) >= least:
-                    holders.setdefault(k, []).append(i)
+                    holders.setdefault(k, set()).add(i)
     gone = {k: max(v) for k, v in holders.items() if len(v) >= most}
     out = []
     for i, t in rows:
@@ -221,6 +221,15 @@ def test_lines(spark, bits):
         line_dedup.dedup_lines(clashing(docs(spark, rows)), keep=("doc_id", "n_lines"))
 
 
+def test_a_document_that_repeats_an_id_counts_once(spark):
+    line = "the same line of twenty characters and more"
+    few, many = [(5, line), (5, line), (3, line)], [(5, line), (5, line), (3, line), (4, line)]
+    for rows, want in ((few, [(3, 0), (5, 0), (5, 0)]), (many, [(3, 1), (4, 1), (5, 0), (5, 0)])):
+        got = line_dedup.dedup_lines(docs(spark, rows))
+        assert sorted((r["doc_id"], r["n_dropped"]) for r in got.collect()) == want
+        assert sorted((tuple(r) for r in got.collect()), key=repr) == lines_kept(rows)
+
+
 def test_documents_that_lose_lines_are_told_from_others(spark):
     import numpy as np
 
