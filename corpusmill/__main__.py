@@ -6,7 +6,7 @@ import argparse
 import sys
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.config import Config, load_config
@@ -14,7 +14,7 @@ from corpusmill.functions.text import slug_of
 from corpusmill.operators import annotate, html, pack, search, segment
 from corpusmill.plans import compile as plan
 from corpusmill.reporting import progress
-from corpusmill.session import ship
+from corpusmill.session import scratch, ship
 from corpusmill.sources import files, model, sinks
 from corpusmill.sources.collection import Collection
 
@@ -26,10 +26,11 @@ def session() -> SparkSession:
     return spark
 
 
-def _written(df: DataFrame, path: str) -> DataFrame:
-    """``df`` from a table that is read from now on, so that no later step computes it again."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def _written(df: DataFrame, path: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``df`` from a table that is read from now on, so that no later step computes it again, and aggregates that were worked out while it was written."""
+    seen = Observation()
+    df.observe(seen, F.count("*").alias("rows"), *[c.alias(k) for k, c in counts.items()]).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), {"rows": 0} | dict.fromkeys(counts, 0) | seen.get
 
 
 def collection(spark: SparkSession, cfg: Config) -> Collection:
@@ -39,25 +40,29 @@ def collection(spark: SparkSession, cfg: Config) -> Collection:
 def ingest(args: argparse.Namespace, cfg: Config) -> int:
     spark, at = session(), plan.now()
     told = progress(args.plain, spark)
+    work = f"{cfg.paths.chroma_dir}/work"
     with told.stage("discover") as notes:
-        documents = files.discover_documents(spark, cfg.paths.raw_dir).persist()
-        notes.append(f"{(n := documents.count())} documents")
+        documents, seen = _written(files.discover_documents(spark, cfg.paths.raw_dir), f"{work}/documents")
+        notes.append(f"{(n := seen['rows'])} documents")
     if not n:
         print(f"no documents in {cfg.paths.raw_dir}")
         return 0
-    work = f"{cfg.paths.chroma_dir}/work"
     with told.stage("chunk"):
-        chunks = _written(plan.first_chunks(segment.chunk_documents(documents, cfg.chunking), args.limit), f"{work}/chunks")
+        chunks, _ = _written(plan.first_chunks(segment.chunk_documents(documents, cfg.chunking), args.limit), f"{work}/chunks")
     with told.stage("classify") as notes:
-        answers = None if args.stub else _written(model.ask(chunks, cfg.model), f"{work}/answers")
-        if answers is not None:
-            notes.append(f"{answers.where('answer IS NULL').count()} without an answer")
+        answers = None
+        if not args.stub:
+            answers, seen = _written(model.ask(chunks, cfg.model), f"{work}/answers", without=F.count_if(F.col("answer").isNull()))
+            notes.append(f"{seen['without']} without an answer")
     whole = plan.full_corpus(documents, cfg, created_at=at, answers=answers, chunks=chunks) if args.full else None
     made = whole.records if whole else plan.compile_corpus(documents, cfg, created_at=at, answers=answers, chunks=chunks)
     with told.stage("records") as notes:
-        records = _written(made, f"{work}/records")
-        notes.append(f"{(chunks := records.count())} chunks")
-    problems = [r["problem"] for r in annotate.validate_frontmatter(records).limit(10).collect()]
+        records, seen = _written(made, f"{work}/records")
+        notes.append(f"{(chunks := seen['rows'])} chunks")
+    with told.stage("problems") as notes:
+        found, seen = _written(annotate.validate_frontmatter(records), f"{work}/problems")
+        problems = [r["problem"] for r in found.limit(10).collect()] if seen["rows"] else []
+        notes.append(f"{seen['rows']} problems")
     if not args.no_files:
         with told.stage("files"):
             sinks.write_chunk_files(records, cfg.paths.chunks_dir)
@@ -111,11 +116,11 @@ def doctor(args: argparse.Namespace, cfg: Config) -> int:
 
 def import_html(args: argparse.Namespace, cfg: Config) -> int:
     spark = session()
-    pages = html.import_pages(files.discover_pages(spark, args.folder), min_words=args.min_words).persist()
+    kinds = {kind: F.count_if(F.col("status") == kind) for kind in ("converted", "stub", "unparseable")}
+    pages, counts = _written(html.import_pages(files.discover_pages(spark, args.folder), min_words=args.min_words), scratch(spark), **kinds)
     done = pages.where("status = 'converted'").select(F.concat("slug", F.lit(".md")).alias("name"), F.concat(F.lit("# "), "title", F.lit("\n\n"), "body", F.lit("\n")).alias("text"))
     sinks.write_named_files(done, args.out or cfg.paths.raw_dir)
-    counts = {r["status"]: r["count"] for r in pages.groupBy("status").count().collect()}
-    print(f"{counts.get('converted', 0)} converted, {counts.get('stub', 0)} stubs, {counts.get('unparseable', 0)} unparseable")
+    print(f"{counts['converted']} converted, {counts['stub']} stubs, {counts['unparseable']} unparseable")
     if args.verbose:
         for r in pages.where("status = 'unparseable'").select("path").toLocalIterator():
             print(f"  {r['path']}")

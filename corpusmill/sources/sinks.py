@@ -4,15 +4,23 @@ from __future__ import annotations
 
 import json
 import shutil
+import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyarrow import fs
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 
+#: what stands between two entries of a pack
+BETWEEN = ",\n    "
+
+
 def _yaml(record: dict[str, Any]) -> str:
     import yaml
 
@@ -23,21 +31,58 @@ def chunk_file(record: dict[str, Any], body: str) -> str:
     return f"---\n{_yaml(record)}---\n\n{body.strip()}\n"
 
 
+@dataclass
+class _Attempt(WriterCommitMessage):
+    """What one task wrote: a folder of its own, and the names of the files in it."""
+
+    folder: str
+    names: list[str]
+
+
+def _files_of(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or URI, and the path there."""
+    return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), str(Path(folder).absolute()))
+
+
 class _NamedFiles(DataSourceWriter):
-    """Writes each row's text to the file that it names, below a folder that all executors share. Files of other names stay."""
+    """Writes each row's text to the file that it names. Each attempt of a task writes to a folder of its own; when all tasks are done, the files
+    of those attempts that count are moved into place. A task that is lost or repeated, or a job that fails, leaves no file under its name."""
 
     def __init__(self, folder: str):
-        self.folder = folder
+        self.folder, self.job = folder, uuid.uuid4().hex
+
+    def _attempts(self) -> tuple[fs.FileSystem, str, str]:
+        files, folder = _files_of(self.folder)
+        return files, folder, f"{folder}/_writing-{self.job}"
 
     def write(self, iterator: Iterator[Any]) -> WriterCommitMessage:
-        folder = Path(self.folder)
-        folder.mkdir(parents=True, exist_ok=True)
+        files, _, attempts = self._attempts()
+        own, names = f"{attempts}/{uuid.uuid4().hex}", []
+        files.create_dir(own)
         for row in iterator:
-            target = folder / row["name"]
-            if target.parent != folder:
-                raise ValueError(f"{row['name']!r} is no file name")
-            target.write_text(row["text"], encoding="utf-8")
-        return WriterCommitMessage()
+            name = row["name"]
+            if not name or "/" in name or name in (".", ".."):
+                raise ValueError(f"{name!r} is no file name")
+            with files.open_output_stream(f"{own}/{name}") as out:
+                out.write(row["text"].encode())
+            names.append(name)
+        return _Attempt(own, names)
+
+    def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        files, folder, attempts = self._attempts()
+        moves = [(f"{m.folder}/{name}", f"{folder}/{name}") for m in messages if m for name in dict.fromkeys(m.names)]
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(lambda move: files.move(*move), moves))
+        self._clear(files, attempts)
+
+    def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        files, _, attempts = self._attempts()
+        self._clear(files, attempts)
+
+    @staticmethod
+    def _clear(files: fs.FileSystem, attempts: str) -> None:
+        if files.get_file_info(attempts).type == fs.FileType.Directory:
+            files.delete_dir(attempts)
 
 
 class NamedFiles(DataSource):
@@ -100,18 +145,44 @@ def write_json(value: dict, path: str) -> None:
 
 
 def write_pack(chunks: DataFrame, header: dict, path: str) -> int:
-    """One JSON object, its chunks in the order of their ids; they pass the driver one at a time. Returns how many there are."""
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    rows = chunks.orderBy("id").select(F.to_json(F.struct(*chunks.columns), {"ignoreNullFields": "false"}).alias("j"))
-    head = json.dumps(header, indent=2, ensure_ascii=False, allow_nan=False)[:-2]
-    n = 0
-    with open(path, "w", encoding="utf-8") as out:
-        out.write(f'{head},\n  "chunks": [')
-        for row in rows.toLocalIterator():
-            entry = json.dumps(json.loads(row["j"]), indent=2, ensure_ascii=False, allow_nan=False)
-            out.write(("," if n else "") + "\n    " + entry.replace("\n", "\n    "))
-            n += 1
-        out.write("\n  ]\n}\n" if n else "]\n}\n")
+    """One JSON object, its chunks in the order of their ids. Returns how many there are.
+
+    Tasks write the entries of ranges of ids as text files, under Spark's protocol for lost and repeated tasks. The file is stitched from these,
+    in order, by copying bytes within the file system's client, and renamed into place when it is whole: no row passes the driver."""
+    spark = chunks.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(path if "://" in path else str(Path(path).absolute()))
+    files, aside = target.getFileSystem(spark._jsc.hadoopConfiguration()), f"{target.toString()}.writing-{uuid.uuid4().hex}"
+    at = lambda name: spark._jvm.org.apache.hadoop.fs.Path(f"{aside}/{name}" if name else aside)
+
+    def render(batches: Iterator[Any]) -> Iterator[Any]:
+        for batch in batches:
+            texts = [json.dumps(json.loads(j), indent=2, ensure_ascii=False, allow_nan=False).replace("\n", "\n    ") for j in batch["j"]]
+            yield batch.assign(value=texts)[["value"]]
+
+    counted = Observation()
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = chunks.select("id", F.to_json(F.struct(*chunks.columns), {"ignoreNullFields": "false"}).alias("j"))
+    rows = rows.repartitionByRange(tasks, "id").sortWithinPartitions("id").select("j").observe(counted, F.count("*").alias("n"))
+    try:
+        rows.mapInPandas(render, "value string").write.option("lineSep", BETWEEN).text(f"{aside}/entries")
+        n = counted.get["n"]
+        parts = sorted((s for s in files.listStatus(at("entries")) if s.getPath().getName().startswith("part-")), key=lambda s: int(s.getPath().getName().split("-")[1]))
+        parts = [p for p in parts if p.getLen()]
+        out = files.create(at("whole"))
+        head = json.dumps(header, indent=2, ensure_ascii=False, allow_nan=False)[:-2]
+        out.write(bytearray(f'{head},\n  "chunks": ['.encode() + (b"\n    " if n else b"")))
+        for i, part in enumerate(parts):
+            stream = files.open(part.getPath())
+            # the last entry is followed by nothing
+            spark._jvm.org.apache.commons.io.IOUtils.copyLarge(stream, out, 0, part.getLen() - (len(BETWEEN) if i == len(parts) - 1 else 0))
+            stream.close()
+        out.write(bytearray(b"\n  ]\n}\n" if n else b"]\n}\n"))
+        out.close()
+        files.mkdirs(target.getParent())
+        files.delete(target, False)
+        files.rename(at("whole"), target)
+    finally:
+        files.delete(at(""), True)
     return n
 
 
