@@ -33,7 +33,7 @@ MADE = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha2
 #: Code points below this have the same classes in both libraries that split texts (tested one by one); texts beyond go to the slower one.
 SHARED = "ɐ"
 SPACE = "▁"
-CACHE = 150_000
+CACHE = 300_000
 #: white space before a space
 DOUBLE = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
 
@@ -94,6 +94,21 @@ class Pair:
         self.sizes = [np.empty(0, np.int64), np.empty(0, np.int64)]
         self.begins = [np.empty(0, np.int64), np.empty(0, np.int64)]
 
+    def keep(self, words: list[str]) -> None:
+        """Forget all but these."""
+        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        self.known, self.good = {w: i for i, w in enumerate(words)}, self.good[at]
+        for k in (0, 1):
+            sizes = self.sizes[k][at]
+            self.ids[k], self.sizes[k] = self._ids(k, at), sizes
+            self.begins[k] = np.cumsum(sizes) - sizes
+
+    def _ids(self, k: int, at: np.ndarray) -> np.ndarray:
+        """A's (0) or B's (1) ids of these words, one after the other."""
+        sizes = self.sizes[k][at]
+        ends = np.cumsum(sizes)
+        return self.ids[k][np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begins[k][at] - ends + sizes, sizes)]
+
     def encode_a(self, text: str) -> list[int]:
         if max(text) < SHARED:
             return self.fast.encode_ordinary(text)
@@ -127,8 +142,7 @@ class Pair:
         split = [words(t) if t else [] for t in texts]
         new = set().union(*split).difference(self.known)
         if new and len(self.known) + len(new) > CACHE:
-            self.forget()
-            new = set().union(*split)
+            self.keep(list(set().union(*split) - new))
         if new:
             self.learn(list(new))
         at = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(split)), np.int64)
@@ -138,10 +152,7 @@ class Pair:
         at, owner = at[~bad[owner]], owner[~bad[owner]]
         out = []
         for k in (0, 1):
-            sizes = self.sizes[k][at]
-            ends = np.cumsum(sizes)
-            ids = self.ids[k][np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begins[k][at] - ends + sizes, sizes)]
-            out.append((ids, np.bincount(owner, weights=sizes, minlength=len(texts)).astype(np.int64)))
+            out.append((self._ids(k, at), np.bincount(owner, weights=self.sizes[k][at], minlength=len(texts)).astype(np.int64)))
         return out
 
 

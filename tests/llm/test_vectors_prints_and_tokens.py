@@ -194,6 +194,17 @@ def test_words_encode_as_whole_texts():
     assert ["".join(" " + w for w in alignment.words(t)) for t in texts if t] == [" " + t for t in texts if t]
 
 
+def test_few_kept_words_change_nothing(monkeypatch):
+    both, rng = alignment.pair(tokenizers()), random.Random(4)
+    monkeypatch.setattr(alignment, "CACHE", 40)
+    both.forget()
+    for _ in range(30):
+        texts = [" ".join(rng.choice(["rye", "barley", "é", "x1", "日本", str(rng.randrange(99))]) for _ in range(rng.randrange(9))) for _ in range(8)]
+        for k, (ids, counts) in enumerate(both.encode(texts)):
+            assert ids.tolist() == [i for t in texts for i in plainly(both, t)[k]] and counts.tolist() == [len(plainly(both, t)[k]) for t in texts]
+    both.forget()
+
+
 @pytest.mark.parametrize("most", [1 << 18, 20, 0])
 def test_alignment_against_brute_force(spark, most):
     rng = random.Random(9)
