@@ -52,7 +52,7 @@ def ingest(args: argparse.Namespace, cfg: Config) -> int:
     with told.stage("classify") as notes:
         answers = None
         if not args.stub:
-            answers, seen = _written(model.ask(chunks, cfg.model), f"{work}/answers", without=F.count_if(F.col("answer").isNull()))
+            answers, seen = _written(model.ask_on(chunks, cfg.model, f"{cfg.paths.chroma_dir}/answers"), f"{work}/answers", without=F.count_if(F.col("answer").isNull()))
             notes.append(f"{seen['without']} without an answer")
     whole = plan.full_corpus(documents, cfg, created_at=at, answers=answers, chunks=chunks) if args.full else None
     made = whole.records if whole else plan.compile_corpus(documents, cfg, created_at=at, answers=answers, chunks=chunks)
