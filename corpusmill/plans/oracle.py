@@ -233,3 +233,17 @@ ORACLE: dict[str, str] = {
 }
 ORACLE["vector_index_topk"] = ORACLE["vector_topk"]
 ORACLE["upsert_merged"] = ORACLE["upsert_chunks"]
+ORACLE["fan_out_context"] = f"""WITH RECURSIVE sib AS ({ORACLE["entry_siblings"]}), {UNITS},
+  placed AS (SELECT *, row_number() OVER (PARTITION BY document_slug ORDER BY idx) AS rank FROM units),
+  own AS (SELECT chunk_id AS query_id, document_slug, rank AS mid FROM placed WHERE idx % 100 = 0),
+  nearest AS (SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY score DESC, b) AS nth FROM sib QUALIFY nth <= 3),
+  offers AS (
+    SELECT query_id, CASE WHEN rank = mid THEN 0 ELSE 1 END AS hop, abs(rank - mid) AS far, rank, chunk_id, tokens FROM own JOIN placed USING (document_slug) WHERE abs(rank - mid) <= 4
+    UNION ALL SELECT query_id, 2, nth, rank, chunk_id, tokens FROM own JOIN nearest ON own.document_slug = a JOIN placed p ON p.document_slug = b WHERE rank <= 2),
+  ordered AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY hop, far, rank, chunk_id) AS n FROM offers),
+  walk AS (
+    SELECT query_id, n, chunk_id, hop, tokens <= 3000 AS took, CASE WHEN tokens <= 3000 THEN tokens ELSE 0 END AS total FROM ordered WHERE n = 1
+    UNION ALL
+    SELECT o.query_id, o.n, o.chunk_id, o.hop, w.total + o.tokens <= 3000, CASE WHEN w.total + o.tokens <= 3000 THEN w.total + o.tokens ELSE w.total END
+    FROM walk w JOIN ordered o ON o.query_id = w.query_id AND o.n = w.n + 1)
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY n) AS place, chunk_id, hop::BIGINT AS hop, total::BIGINT AS total FROM walk WHERE took"""

@@ -11,6 +11,7 @@ from corpusmill.config import Config
 from corpusmill.functions import text as T
 from corpusmill.operators import annotate, html, index, pack, salience, search, segment
 from corpusmill.operators.ann import VectorIndex
+from corpusmill.operators.fanout import fan_out
 from corpusmill.operators.postings import Postings
 from corpusmill.plans import compile as plan
 from corpusmill.session import scratch, stored
@@ -454,6 +455,15 @@ def postings_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", F.col("rank").cast(LONG).alias("rank"), "chunk_id", F.bround("score", 6).alias("score"))
 
 
+@query
+def fan_out_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What 3,000 tokens hold around every document whose id is divisible by 100."""
+    rows = units(spark, sf_dir)
+    hits = rows.where("idx % 100 = 0").select(F.col("chunk_id").alias("query_id"), "chunk_id")
+    found = fan_out(hits, rows, entry_siblings(spark, sf_dir), budget=3000)
+    return found.select("query_id", F.col("place").cast(LONG).alias("place"), "chunk_id", F.col("hop").cast(LONG).alias("hop"), "total")
+
+
 @query
 def full_compile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of a full compilation over the conversations: records with salience, related chunks and index references."""

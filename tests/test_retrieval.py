@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.operators import salience
+from corpusmill.operators.fanout import fan_out
 from corpusmill.operators.ann import VectorIndex, recall
 from corpusmill.operators.html import convert_page, distinct_slugs
 from corpusmill.operators.postings import Postings
@@ -145,6 +146,18 @@ def test_writers_that_are_lost_or_late(spark, tmp_path):
     assert state(held) == [("a", 1), ("b", 2), ("c", 3)] and held.compact() and state(held) == [("a", 1), ("b", 2), ("c", 3)]
 
 
+def test_context_around_hits(spark):
+    rows = [("a1", "a", 10, 50), ("a2", "a", 20, 60), ("a3", "a", 30, 5), ("a4", "a", 40, None), ("b1", "b", 1, 30), ("b2", "b", 2, 1), ("b3", "b", 3, 1), ("c1", "c", 1, 500), ("x", None, 1, 1)]
+    df = spark.createDataFrame(rows, "chunk_id string, document_slug string, idx int, tokens int")
+    near = spark.createDataFrame([("a", "b", 0.5), ("a", "c", 0.9), ("b", "a", 0.5)], "a string, b string, score double")
+    hits = spark.createDataFrame([("q", "a2"), ("r", "b2"), ("s", "c1"), ("t", "absent")], "query_id string, chunk_id string")
+    got = sorted(map(tuple, fan_out(hits, df, near, budget=120, near=1, related=2, each=2).collect()))
+    assert got == [
+        ("q", 1, "a2", 0, 60), ("q", 2, "a1", 1, 110), ("q", 3, "a3", 1, 115), ("q", 4, "b2", 2, 116),  # c1 and b1 do not fit, what follows does
+        ("r", 1, "b2", 0, 1), ("r", 2, "b1", 1, 31), ("r", 3, "b3", 1, 32), ("r", 4, "a1", 2, 82),
+    ]
+
+
 def test_frequencies_follow_changes(spark, tmp_path):
     rng, docs = random.Random(1), {}
     (tmp_path / "in").mkdir()
