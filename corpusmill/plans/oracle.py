@@ -134,15 +134,19 @@ altered AS (SELECT u.*, p.*, quality, toxic, CASE WHEN quality = 0 THEN 'draft'
   FROM units u JOIN paths p USING (chunk_id) LEFT JOIN (SELECT 'doc-' || doc_id AS chunk_id, quality, toxic FROM labels) l USING (chunk_id))"""
 EVENTS = """answers AS (SELECT *, event_id % 11 <> 0 AS object, CASE WHEN event_id % 5 = 0 THEN 0.25 ELSE least(1.0, (event_id % 150) / 100.0) END AS share FROM events)"""
 
+TITLED = "array_to_string(list_transform(string_split({x}, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ')"
+
 ORACLE: dict[str, str] = {
     "tokenize_counts": f"SELECT doc_id, len({words('text')}) AS n_words, len(list_distinct({words('text')})) AS n_distinct FROM documents",
     "content_term_counts": f"SELECT doc_id, len({terms('text')}) AS n_terms, array_to_string({terms('text')}[1:5], ' ') AS first_terms FROM documents",
     "estimate_tokens": f"SELECT doc_id, {tokens('text')} AS tokens FROM documents",
     "slugify_titles": f"SELECT doc_id, {slug(FIRST)} AS slug FROM documents",
-    "title_case_sources": "SELECT DISTINCT source || ' ' || lang AS name, 'Src' || substr(source, 4) || ' ' || upper(lang[1]) || lang[2:] AS title FROM documents",
+    "title_case_sources": f"SELECT name, {TITLED.format(x='name')} AS title FROM (SELECT DISTINCT source || ' ' || lang AS name FROM documents)",
     "first_sentence_summary": f"SELECT doc_id, CASE WHEN {summary('text')} <> '' THEN {summary('text')} ELSE 'untitled' END AS summary FROM documents",
     "whitespace_word_counts": "SELECT conv_id, turn, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) AS n_words FROM conversations",
-    "extract_title": "SELECT DISTINCT 'conversation-' || conv_id AS slug, 'Conversation ' || conv_id AS title FROM conversations UNION ALL SELECT 'doc-' || doc_id, 'Doc ' || doc_id FROM documents",
+    "extract_title": f"""WITH {CONVERSATIONS}, whole AS (SELECT * FROM docs UNION ALL SELECT 'doc-' || doc_id, text FROM documents),
+      heads AS (SELECT slug, list_filter(string_split_regex(text, '\\r\\n|[\\n\\r]'), lambda l: regexp_matches(l, '^#{{1,6}}\\s+.*\\S\\s*$')) AS heads FROM whole)
+      SELECT slug, CASE WHEN len(heads) > 0 THEN regexp_extract(heads[1], '^#+\\s+(.*\\S)\\s*$', 1) ELSE {TITLED.format(x="trim(regexp_replace(slug, '[-_]+', ' ', 'g'))")} END AS title FROM heads""",
     "section_split": f"WITH {CONVERSATIONS}, {SECTIONS} SELECT slug, section, heading, body FROM sections",
     "paragraph_split": f"WITH {CONVERSATIONS}, {SECTIONS}, {PARAGRAPHS} SELECT slug, section, paragraph, text FROM paras",
     "sentence_split_counts": f"SELECT doc_id, len({sentences(strip('text'))}) AS n_sentences FROM documents",
