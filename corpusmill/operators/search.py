@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
 from corpusmill.functions.text import content_terms, content_terms_of
+from corpusmill.operators.ann import best_of
 from corpusmill.operators.salience import project
-
+from corpusmill.session import stored
 
 DIMENSIONS = 256
 
@@ -60,8 +61,8 @@ def vectors_top_k(vectors: DataFrame, queries: DataFrame, n: int = 5, *, key: st
     parts, block = [], []
     for row in asked.toLocalIterator():
         block.append((row["q"], row["v"]))
-        if len(block) == most_queries:
-            parts.append(_nearest(rows, block, n, f"q {kind}, id {id_}, score double"))
+        if len(block) == most_queries:  # searched and written before the next block is collected
+            parts.append(stored(_nearest(rows, block, n, f"q {kind}, id {id_}, score double")))
             block = []
     if block or not parts:
         parts.append(_nearest(rows, block, n, f"q {kind}, id {id_}, score double"))
@@ -80,21 +81,24 @@ def _nearest(rows: DataFrame, block: list[tuple[Any, list[float]]], n: int, sche
     shared = rows.sparkSession.sparkContext.broadcast({d: ([q for q, _ in qs], np.array([u for _, u in qs])) for d, qs in by_size.items()})
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best: dict[Any, pd.DataFrame] = {}
+        best: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             sizes = batch["v"].map(len)
             for d, (ids, matrix) in shared.value.items():
                 own = batch[sizes == d]
                 if not len(own):
                     continue
-                values = np.array([np.asarray(v, np.float64) for v in own["v"]])
+                values = np.array(own["v"].tolist(), np.float64)
                 lengths = np.sqrt((values * values).sum(1))
                 usable = np.isfinite(lengths) & (lengths > 0)
                 names, scores = own["id"].to_numpy()[usable], (values[usable] / lengths[usable, None]) @ matrix.T
-                for k, q in enumerate(ids):
-                    near = pd.DataFrame({"q": q, "id": names, "score": scores[:, k]})
-                    best[q] = pd.concat([best[q], near] if q in best else [near]).sort_values(["score", "id"], ascending=[False, True]).head(n)
-        yield from best.values()
+                for k in range(len(ids)):
+                    held = best.get((d, k))
+                    all_names, all_scores = (names, scores[:, k]) if held is None else (np.concatenate([held[0], names]), np.concatenate([held[1], scores[:, k]]))
+                    top = best_of(all_names, all_scores, n)
+                    best[d, k] = all_names[top], all_scores[top]
+        for (d, k), (names, scores) in best.items():
+            yield pd.DataFrame({"q": [shared.value[d][0][k]] * len(names), "id": names, "score": scores})
 
     return rows.mapInPandas(search, schema)
 
