@@ -9,7 +9,7 @@ piece merges come as in a tokenizer: lowest rank first, leftmost first. A piece
 Pieces already encoded are kept from block to block, up to ``CACHE`` of them; then only those of the block at hand stay.
 
 Rows: null is the empty text, which has no tokens. Texts of any length go in whole. Repeated rows and null ids stay; an empty table
-gives an empty result; only the named columns are read.
+gives an empty result; only the named columns are read, and kept ones named as those that are made are an error that names them.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import give_back, in_arrow, slices
+from .common import check_names, give_back, in_arrow, slices
 
 CACHE = 150_000
 
@@ -211,6 +211,7 @@ ENCODED = "ids binary, n_tokens bigint, decoded binary"
 
 def encode(df: DataFrame, vocabulary: Vocabulary, *, text: str = "text", keep: tuple[str, ...] = (), rows: int = 1024) -> DataFrame:
     """``keep`` columns with the ids (little-endian unsigned 32-bit numbers), their number and the bytes that they decode to."""
+    check_names(keep, ("ids", "n_tokens", "decoded"))
     spark: SparkSession = df.sparkSession
     shared = spark.sparkContext.broadcast(vocabulary)
     chosen = df.select(*[F.col(k) for k in keep], F.col(text).cast("string").alias("__text"))
@@ -234,6 +235,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, *, text: str = "text", keep: t
 
 def decode(df: DataFrame, vocabulary: Vocabulary, *, ids: str = "ids", keep: tuple[str, ...] = ()) -> DataFrame:
     """``keep`` columns with ``decoded``, the bytes of the ids; null where the ids are null."""
+    check_names(keep, ("decoded",))
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
     chosen = df.select(*[F.col(k) for k in keep], F.col(ids).alias("__ids"))
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in chosen.schema.fields[:-1])

@@ -20,6 +20,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import check_names
+
 #: What the rules are about. Shares are of characters unless said otherwise.
 STATISTICS = ("chars", "words", "word_length", "distinct", "letters", "capitals", "digits", "odd", "exclaims", "lines", "bars", "repeats")
 
@@ -182,7 +184,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, label: str = "quality", t
 
 
 def score_quality(df: DataFrame, model: RuleModel, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns and ``score``, the probability of label 1."""
+    """``keep`` columns, none of them named score, and ``score``, the probability of label 1."""
+    check_names(keep, ("score",))
     stats = statistics(F.col(text))
     rows = df.select(*[F.col(k).alias(f"__keep{i}") for i, k in enumerate(keep)], *[stats[s].cast("double").alias(f"__{s}") for s in STATISTICS])
     score = model.column({s: F.col(f"__{s}") for s in STATISTICS})

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .automaton import SuffixAutomaton
-from .common import map_slices, raw, stored
+from .common import check_names, map_slices, raw, stored
 from .words import Words, mix, sliding_min
 
 RUNS = "anchor bigint, run bigint, __id bigint, __row bigint, start int, windows int"
@@ -85,7 +85,9 @@ def shard_results(rows: Iterator[tuple[int, int, int, bytes]], width: int, most_
 
 
 def dedup_substrings(df: DataFrame, *, text: str = "text", doc_id: str = "doc_id", keep: tuple[str, ...] = ("doc_id",), width: int = 50, gram: int = 16, most_runs: int = 256, most_words: int = 20_000) -> DataFrame:
-    """``keep`` columns, ``text`` (the words that stay, with single spaces), n_words and n_removed."""
+    """``keep`` columns, ``text`` (the words that stay, with single spaces), n_words and n_removed. None of those kept
+    may have the name of one of the others."""
+    check_names(keep, ("text", "n_words", "n_removed"))
     gram = min(gram, width)
     column = F.coalesce(F.col(text).cast("string"), F.lit(""))
     docs = df.select(F.col(doc_id).cast("long").alias("__id"), F.xxhash64(column).alias("__row"), column.alias("__text"))

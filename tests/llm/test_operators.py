@@ -576,3 +576,11 @@ def test_blocks_are_left_out():
 
 def test_digests_are_plain():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_kept_columns_must_not_have_names_that_are_made(spark):
+    df = spark.createDataFrame([(1, "some text", 0.5)], "doc_id bigint, text string, score double").withColumn("ids", F.col("score"))
+    model = quality.RuleModel.__new__(quality.RuleModel)
+    for made in (lambda: bpe.encode(df, vocabulary(), keep=("doc_id", "ids")), lambda: quality.score_quality(df, model, keep=("score",)), lambda: substring_dedup.dedup_substrings(df, keep=("doc_id", "text"))):
+        with pytest.raises(ValueError, match="names of columns that are made"):
+            made()
