@@ -5,6 +5,7 @@ import io
 import json
 import threading
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -277,3 +278,23 @@ def test_stream(spark, tmp_path):
     (tmp_path / "in" / "boats.md").write_text(TEXTS["boats.md"])
     compile_stream(document_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "checkpoint"), created_at="x").awaitTermination()
     assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "out")).select("fm.chunk_id").collect()) == ["boats_000", "boats_001", "bread_000", "bread_001"]
+
+
+def test_answers_are_dealt_to_tasks_of_bounded_size(spark, tmp_path):
+    """One row group was one task, whose time grew with the table."""
+    from corpusmill.plans import queries
+
+    spark.range(0, 200_001, 1, 1).selectExpr("id AS event_id", "'view' AS event_type", "id AS user_id").write.parquet(f"{tmp_path}/events.parquet")
+    sizes = queries.answers(spark, str(tmp_path)).select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert sum(r["count"] for r in sizes) == 200_001 and max(r["count"] for r in sizes) <= queries.TASK_ROWS + 1
+
+
+def test_batches_for_python_are_bounded_in_bytes(spark):
+    """10,000 rows were one batch, whatever their length."""
+    rows = spark.range(0, 2000, 1, 1).select(F.repeat(F.lit("x"), 20_000).alias("text"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pd.DataFrame({"n": [len(b)]})
+
+    assert rows.mapInPandas(sizes, "n long").agg(F.max("n")).first()[0] * 20_000 <= 8 << 20
