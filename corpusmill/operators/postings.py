@@ -1,6 +1,7 @@
 """Postings by term and block, and exact search of many questions that stops early.
 
-Chunks lie in blocks of about ``block_chunks``. A block's chunks share their heaviest term, so that other terms are heavy in few blocks only.
+Chunks lie in blocks of about ``block_chunks``. Chunks that share their heaviest term lie together, so that other terms are heavy in few blocks
+only; terms that are the heaviest of few chunks share a block, so there are no more blocks than the number of chunks asks for.
 For each term and block there is one row: the chunks with their weights, and in a table of its own the largest of them. What a question can
 reach in a block is the sum of its weights times these maxima. Each question first scores its ``first`` most promising blocks; of the rest,
 only blocks that can reach its n-th best score so far are scored, so no answer is lost. All steps are joins and aggregations over many
@@ -44,17 +45,18 @@ class Postings:
         spark, versions = weights.sparkSession, Versions(weights.sparkSession, path)
         rows = weights.where("w <> 0").select(F.col(key).alias("id"), "term", "w")
         heaviest = stored(rows.groupBy("id").agg(F.max_by("term", F.struct("w", "term")).alias("heaviest")))
+        few = max(1, -(-heaviest.count() // block_chunks))
         sizes = heaviest.groupBy("heaviest").agg(F.ceil(F.count("*") / block_chunks).alias("parts"))
-        blocks = heaviest.join(sizes, "heaviest").select("id", F.xxhash64("heaviest", F.pmod(F.xxhash64("id"), "parts")).alias("block"))
+        own = F.xxhash64("heaviest", F.pmod(F.xxhash64("id"), "parts"))
+        blocks = heaviest.join(sizes, "heaviest").select("id", F.when(F.col("parts") == 1, F.pmod(F.xxhash64("heaviest"), F.lit(few))).otherwise(own).alias("block"))
         bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int").alias("bucket")
         out = versions.aside()
-        grouped = rows.join(blocks, "id").groupBy("term", "block").agg(F.array_sort(F.collect_list(F.struct("id", "w"))).alias("chunks"), F.max("w").alias("most"))
-        # a term in very many blocks is dealt by block as well
-        whole = stored(grouped.select("term", "block", "chunks", "most", bucket))
-        for name, columns in (("entries", ("term", "block", "chunks")), ("maxima", ("term", "block", "most"))):
-            part = whole.select("bucket", *columns)
-            part = part.repartition("bucket", F.pmod("block", F.lit(8))) if name == "entries" else part.repartition("bucket")
-            part.sortWithinPartitions("bucket", "term", "block").write.partitionBy("bucket").parquet(f"{out}/{name}")
+        grouped = rows.join(blocks, "id").groupBy("term", "block").agg(F.array_sort(F.collect_list(F.struct("id", "w"))).alias("chunks"))
+        # a term in very many blocks is dealt by block as well; the lists are written once, and the maxima read from them
+        whole = grouped.select(bucket, "term", "block", "chunks").repartition("bucket", F.pmod("block", F.lit(8)))
+        whole.sortWithinPartitions("bucket", "term", "block").write.partitionBy("bucket").parquet(f"{out}/entries")
+        most = spark.read.parquet(f"{out}/entries").select("bucket", "term", "block", F.array_max("chunks.w").alias("most"))
+        most.repartition("bucket").sortWithinPartitions("bucket", "term", "block").write.partitionBy("bucket").parquet(f"{out}/maxima")
         spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.parquet(f"{out}/buckets")
         versions.append(out)
         return cls(spark, path)

@@ -42,3 +42,14 @@ def test_terms_of_chunks_are_not_shuffled(spark):
     df = spark.createDataFrame(ROWS, "chunk_id string, document_slug string, body string")
     plan = salience.Corpus(df).weights._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_rare_heaviest_terms_share_blocks(spark, tmp_path):
+    """Each chunk whose heaviest term is its own was a block, so postings were lists of one."""
+    from corpusmill.operators.postings import Postings
+
+    rows = spark.range(0, 1000).selectExpr("concat('c', id) AS chunk_id", "inline(array(struct(concat('own', id) AS term, 0.8D AS w), struct('all' AS term, 0.6D AS w)))")
+    held = Postings.build(rows, f"{tmp_path}/postings", block_chunks=256)
+    assert held.entries.where("term = 'all'").count() <= 4
+    asked = spark.createDataFrame([(1, "own7", 1.0), (1, "all", 0.1)], "query_id int, term string, q double")
+    assert [(r["rank"], r["chunk_id"]) for r in held.search(asked, 2).orderBy("rank").collect()] == [(1, "c7"), (2, "c0")]
