@@ -284,9 +284,9 @@ def test_answers_are_dealt_to_tasks_of_bounded_size(spark, tmp_path):
     """One row group was one task, whose time grew with the table."""
     from corpusmill.plans import queries
 
-    spark.range(0, 200_001, 1, 1).selectExpr("id AS event_id", "'view' AS event_type", "id AS user_id").write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(0, 400_001, 1, 1).selectExpr("id AS event_id", "'view' AS event_type", "id AS user_id").write.parquet(f"{tmp_path}/events.parquet")
     sizes = queries.answers(spark, str(tmp_path)).select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
-    assert sum(r["count"] for r in sizes) == 200_001 and max(r["count"] for r in sizes) <= queries.TASK_ROWS + 1
+    assert sum(r["count"] for r in sizes) == 400_001 and max(r["count"] for r in sizes) <= queries.TASK_ROWS + 1
 
 
 def test_batches_for_python_are_bounded_in_bytes(spark):
